@@ -105,12 +105,15 @@ def decode_entities(c) -> Column:
     return c
 
 
-@F.pandas_udf("string")
-def decode_entities_full(s):
-    """Every HTML reference; Arrow batches, for text the native chain cannot finish."""
-    import html
+def decode_entities_full(c) -> Column:
+    """Every HTML reference; one Arrow batch function for what the native chain cannot finish."""
 
-    return s.map(html.unescape, na_action="ignore")
+    def unescape(s):
+        import html
+
+        return s.map(html.unescape, na_action="ignore")
+
+    return F.pandas_udf(unescape, "string")(as_col(c))
 
 
 def drop_tags(c, replacement: str = " ") -> Column:
