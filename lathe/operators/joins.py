@@ -25,7 +25,7 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, right_key: str | No
     if salts > 1:
         names = [spread] if isinstance(spread, str) else list(spread or left.columns)
         left = left.withColumn("__salt", F.pmod(F.xxhash64(*names), F.lit(salts)))
-        r = r.withColumn("__rsalt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+        r = r.withColumn("__rsalt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
         cond = (strip(F.col(key).cast("string")) == F.col("__rk")) & (F.col("__salt") == F.col("__rsalt"))
     joined = left.join(r, cond, how).drop("__rk")
     return joined.drop("__salt", "__rsalt") if salts > 1 else joined

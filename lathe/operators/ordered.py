@@ -15,27 +15,29 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.rx import as_col, is_blank
 
-_FINE = 32
 
-
-def range_count(df: DataFrame, ranges: int | None = None) -> int:
-    """As many ranges as shuffle partitions unless told otherwise."""
+def range_bits(df: DataFrame, ranges: int | None = None) -> int:
+    """log2 of the range count: at least as many ranges as shuffle partitions."""
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(n, 16384))
+    return max(1, min(n - 1, 16383).bit_length())
+
 
+def with_range(df: DataFrame, order_col: str, ranges: int | None = None) -> DataFrame:
+    """Adds ``__range``, the index of the order range a row falls in.
 
-def range_of(df: DataFrame, order_col: str, ranges: int | None = None) -> Column:
-    """Index of the order range a row falls in."""
-    n = range_count(df, ranges)
-    cuts = [i / n for i in range(1, n)]
-    bounds = df.select(F.percentile_approx(F.col(order_col).cast("double"), cuts, 10 * n).alias("b")).scalar()
+    The bounds are one scalar subquery. A row finds its range by binary
+    search: one staged column per halving, all inside generated code.
+    """
+    bits = range_bits(df, ranges)
+    n = 1 << bits
     x = F.col(order_col).cast("double")
-    if n <= _FINE * 2:
-        return F.coalesce(F.size(F.filter(bounds, lambda b: b <= x)), F.lit(0))
-    coarse = F.filter(bounds, lambda b, i: (i % _FINE == _FINE - 1))
-    block = F.size(F.filter(coarse, lambda b: b <= x))
-    fine = F.slice(bounds, block * _FINE + 1, F.lit(_FINE))
-    return F.coalesce(block * _FINE + F.size(F.filter(fine, lambda b: b <= x)), F.lit(0))
+    bounds = df.select(F.percentile_approx(x, [i / n for i in range(1, n)], 10 * n)).scalar()
+    out = df.withColumn("__at0", F.lit(0))
+    for i in range(bits):
+        step = 1 << (bits - 1 - i)
+        at = F.col(f"__at{i}")
+        out = out.withColumn(f"__at{i + 1}", at + F.when(F.get(bounds, at + (step - 1)) <= x, step).otherwise(0))
+    return out.withColumnRenamed(f"__at{bits}", "__range").drop(*[f"__at{i}" for i in range(bits)])
 
 
 def _order(cols):
@@ -58,7 +60,7 @@ def _join_back(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
 def running_sum(df: DataFrame, value, order, keys=(), out: str = "running", ranges: int | None = None, start: int = 0) -> DataFrame:
     """Sum of ``value`` over all rows up to this one, per key, in order."""
     order, keys = _names(order), _names(keys)
-    work = df.withColumn("__range", range_of(df, order[0], ranges)).withColumn("__value", as_col(value))
+    work = with_range(df, order[0], ranges).withColumn("__value", as_col(value))
     totals = work.groupBy(*keys, "__range").agg(F.sum("__value").alias("__total"))
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "__range", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__offset"))
@@ -100,7 +102,7 @@ def batch_number(df: DataFrame, order, size: int = 50, out: str = "batch", range
 def carry_forward(df: DataFrame, value, order, keys=(), out: str = "section", ranges: int | None = None) -> DataFrame:
     """H7/H9: the last non-null ``value`` at or before this row, per key."""
     order, keys = _names(order), _names(keys)
-    work = df.withColumn("__range", range_of(df, order[0], ranges)).withColumn("__value", as_col(value))
+    work = with_range(df, order[0], ranges).withColumn("__value", as_col(value))
     seen = work.filter(F.col("__value").isNotNull())
     rank = F.struct(*[F.col(c) for c in order])
     totals = work.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
@@ -117,7 +119,7 @@ def carry_forward(df: DataFrame, value, order, keys=(), out: str = "section", ra
 def next_value(df: DataFrame, value, order, keys=(), out: str = "next", ranges: int | None = None) -> DataFrame:
     """H8: the first non-null ``value`` strictly after this row, per key."""
     order, keys = _names(order), _names(keys)
-    work = df.withColumn("__range", range_of(df, order[0], ranges)).withColumn("__value", as_col(value))
+    work = with_range(df, order[0], ranges).withColumn("__value", as_col(value))
     rank = F.struct(*[F.col(c) for c in order])
     totals = work.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
     firsts = work.filter(F.col("__value").isNotNull()).groupBy(*keys, "__range").agg(F.min_by("__value", rank).alias("__first"))
