@@ -22,16 +22,25 @@ def range_bits(df: DataFrame, ranges: int | None = None) -> int:
     return max(1, min(n - 1, 16383).bit_length())
 
 
-def with_range(df: DataFrame, order_col: str, ranges: int | None = None) -> DataFrame:
+_HASH_SPACE = 1 << 31
+_ROWS_PER_RANGE = 1000
+
+
+def with_range(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
     """Adds ``__range``, the index of the order range a row falls in.
 
-    The bounds are one scalar subquery. A row finds its range by binary
-    search: one staged column per halving, all inside generated code.
+    The bounds are one scalar subquery: percentiles of about a thousand rows
+    per range, picked by hash, so the one task that merges them stays small
+    on any input. They only decide how evenly the work is spread; every row
+    is numbered. A row finds its range by binary search: one staged column
+    per halving, all inside generated code.
     """
     bits = range_bits(df, ranges)
     n = 1 << bits
-    x = F.col(order_col).cast("double")
-    bounds = df.select(F.percentile_approx(x, [i / n for i in range(1, n)], 10 * n)).scalar()
+    x = F.col(order[0]).cast("double")
+    quota = df.select((F.lit(float(_ROWS_PER_RANGE * n * _HASH_SPACE)) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("q")).scalar()
+    picked = df.filter(F.pmod(F.xxhash64(*order), F.lit(_HASH_SPACE)) < quota)
+    bounds = picked.select(F.percentile_approx(x, [i / n for i in range(1, n)], 10 * n)).scalar()
     out = df.withColumn("__at0", F.lit(0))
     for i in range(bits):
         step = 1 << (bits - 1 - i)
@@ -60,7 +69,7 @@ def _join_back(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
 def running_sum(df: DataFrame, value, order, keys=(), out: str = "running", ranges: int | None = None, start: int = 0) -> DataFrame:
     """Sum of ``value`` over all rows up to this one, per key, in order."""
     order, keys = _names(order), _names(keys)
-    work = with_range(df, order[0], ranges).withColumn("__value", as_col(value))
+    work = with_range(df, order, ranges).withColumn("__value", as_col(value))
     totals = work.groupBy(*keys, "__range").agg(F.sum("__value").alias("__total"))
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "__range", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__offset"))
@@ -102,7 +111,7 @@ def batch_number(df: DataFrame, order, size: int = 50, out: str = "batch", range
 def carry_forward(df: DataFrame, value, order, keys=(), out: str = "section", ranges: int | None = None) -> DataFrame:
     """H7/H9: the last non-null ``value`` at or before this row, per key."""
     order, keys = _names(order), _names(keys)
-    work = with_range(df, order[0], ranges).withColumn("__value", as_col(value))
+    work = with_range(df, order, ranges).withColumn("__value", as_col(value))
     seen = work.filter(F.col("__value").isNotNull())
     rank = F.struct(*[F.col(c) for c in order])
     totals = work.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
@@ -119,7 +128,7 @@ def carry_forward(df: DataFrame, value, order, keys=(), out: str = "section", ra
 def next_value(df: DataFrame, value, order, keys=(), out: str = "next", ranges: int | None = None) -> DataFrame:
     """H8: the first non-null ``value`` strictly after this row, per key."""
     order, keys = _names(order), _names(keys)
-    work = with_range(df, order[0], ranges).withColumn("__value", as_col(value))
+    work = with_range(df, order, ranges).withColumn("__value", as_col(value))
     rank = F.struct(*[F.col(c) for c in order])
     totals = work.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
     firsts = work.filter(F.col("__value").isNotNull()).groupBy(*keys, "__range").agg(F.min_by("__value", rank).alias("__first"))
