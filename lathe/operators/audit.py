@@ -238,7 +238,7 @@ def full_audit(urls: DataFrame, pages: DataFrame, findings: DataFrame, url: str,
             cols.append(F.coalesce(label[c], F.col(c)).alias(c))
         elif c in counts:
             cols.append(F.coalesce(F.col(c), F.lit(0)).alias(c))
-        elif c.endswith("_found"):
+        elif c in [f"{g}_found" for g in KEYWORD_GROUPS]:
             cols.append(F.when(state.isNull(), F.coalesce(F.col(c), F.lit("No"))).otherwise("No").alias(c))
         elif c in ("found_keywords_list", "address") or c.endswith("_source"):
             cols.append(F.when(state.isNull(), F.coalesce(F.col(c), F.lit(""))).otherwise("").alias(c))
