@@ -24,6 +24,7 @@ def first_sightings(stream: DataFrame, key: str, landed: str | None = None, hori
     """
     named = stream.filter(~is_blank(key))
     if landed:
+        named = named.withColumn(landed, F.col(landed).cast("timestamp"))
         return named.withWatermark(landed, horizon).dropDuplicatesWithinWatermark([key])
     return named.dropDuplicates([key])
 
