@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import fraction_value
 from ..spec.packs import PACKS, extract_dimensions
 from ..spec.reader import FIELDS
-from .registry import query, table
+from .registry import query, texts
 
 # name: (whole part, quarters or None) as SQL both engines read.
 NUMBERS = {
@@ -136,14 +136,19 @@ def spec_texts(parts, code: str):
 
 
 def measured(df, code: str):
-    dims = extract_dimensions(df, "spec", code)
-    return dims.select("p_partkey", *[fraction_value(F.translate(F.col(f"dims.{f}"), '"', "")).alias(f) for f in NUMERIC])
+    return numeric_fields(extract_dimensions(df, "spec", code), NUMERIC)
+
+
+def numeric_fields(df, fields, key: str = "p_partkey", dims: str = "dims"):
+    """The fields as doubles; one function over an array instead of one per field."""
+    raw = F.array(*[F.translate(F.col(f"{dims}.{f}"), '"', "") for f in fields])
+    return df.select(key, F.transform(raw, fraction_value).alias("v")).select(key, *[F.get("v", F.lit(i)).alias(f) for i, f in enumerate(fields)])
 
 
 def _register(code: str) -> None:
     @query(f"dims_{code.lower()}", oracle(FORMS[code]))
     def run(spark, sf):
-        parts = table(spark, sf, "part").select("p_partkey", "p_size")
+        parts = texts(spark, sf, "part").select("p_partkey", "p_size")
         return measured(spec_texts(parts, code), code)
 
 

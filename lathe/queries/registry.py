@@ -5,6 +5,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 
 @dataclass(frozen=True)
 class Entry:
@@ -25,5 +27,10 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are costly to read: see ``spread``."""
+    return spread(table(spark, sf_dir, name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

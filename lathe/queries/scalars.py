@@ -8,7 +8,7 @@ from ..functions import numbers as N
 from ..functions import sku as K
 from ..functions import text as T
 from ..functions import urls as U
-from .registry import query, table
+from .registry import query, table, texts
 
 #: What Java's Unicode \s stands for, spelled out for RE2.
 BLANK = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -23,7 +23,7 @@ def text_query(name: str, fn, sql: str, source: str = "documents", key: str = "d
 
     @query(name, f"select {key}, md5({sql}) as digest, length({sql})::bigint as chars from {source}")
     def run(spark, sf):
-        t = table(spark, sf, source).select(key, fn(F.col(col)).alias("out"))
+        t = texts(spark, sf, source).select(key, fn(F.col(col)).alias("out"))
         return t.select(key, F.md5(F.col("out").cast("binary")).alias("digest"), F.length("out").cast("bigint").alias("chars"))
 
     return run
@@ -43,7 +43,7 @@ text_query("html_to_line", T.html_to_line, f"trim(regexp_replace(replace(replace
     from (select doc_id, trim(regexp_replace(case when doc_id % 2 = 0 then concat(text, ' Shipping free. Materials: oak.') else concat('dimensions. ', text, ' shipping') end, 'BLANK+', ' ', 'g')) t from documents)""".replace("BLANK", BLANK),
 )
 def _(spark, sf):
-    d = table(spark, sf, "documents")
+    d = texts(spark, sf, "documents")
     t = F.when(F.col("doc_id") % 2 == 0, F.concat("text", F.lit(" Shipping free. Materials: oak."))).otherwise(F.concat(F.lit("dimensions. "), F.col("text"), F.lit(" shipping")))
     out = T.description_until_marker(T.squeeze(t))
     return d.select("doc_id", F.md5(out.cast("binary")).alias("digest"))

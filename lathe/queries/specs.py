@@ -7,7 +7,7 @@ from ..spec.packs import shade_numbers
 from ..spec import attrs as A
 from ..spec import lines as L
 from .measures import shown, value
-from .registry import query, table
+from .registry import query, texts
 
 
 def S(c):
@@ -15,7 +15,7 @@ def S(c):
 
 
 def parts(spark, sf):
-    return table(spark, sf, "part")
+    return texts(spark, sf, "part")
 
 
 def text(template: str):

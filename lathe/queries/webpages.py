@@ -7,12 +7,12 @@ from ..operators import audit as N
 from ..operators.linkgraph import link_table, reachable
 from ..plans.catalog import site_audit
 from ..sources import pages as P
-from .registry import query, table
+from .registry import query, table, texts
 from .scalars import BLANK
 
 
 def pages(spark, sf):
-    return table(spark, sf, "pages").select("page_id", "url", "html")
+    return texts(spark, sf, "pages").select("page_id", "url", "html")
 
 
 def S(c):
@@ -108,7 +108,7 @@ def _(spark, sf):
     k = F.col("doc_id")
     extra = F.concat(F.when(k % 3 == 0, " our RESIDENTIAL work ").when(k % 3 == 1, " Comm A/C, ").otherwise(" nonresidentialx "), F.when(k % 5 == 0, "(industrial)").otherwise(""))
     flags = N.keyword_groups(F.concat(F.col("text"), extra))
-    return table(spark, sf, "documents").select("doc_id", *[c.alias(n) for n, c in flags.items()])
+    return texts(spark, sf, "documents").select("doc_id", *[c.alias(n) for n, c in flags.items()])
 
 
 CLEAN = f"trim(regexp_replace(regexp_replace(lower(text), '[!-/:-@\\[-`{{-~]', '', 'g'), '{BLANK}+', ' ', 'g'))"
@@ -116,7 +116,7 @@ CLEAN = f"trim(regexp_replace(regexp_replace(lower(text), '[!-/:-@\\[-`{{-~]', '
 
 @query("keyword_substrings", f"select doc_id, contains(c, 'cat') as cat, contains(c, 'heating') as heating, contains(c, 'home service') as home, contains(c, 'plumber') as plumbers from (select doc_id, {CLEAN} c from documents)")
 def _(spark, sf):
-    d = table(spark, sf, "documents")
+    d = texts(spark, sf, "documents")
     return d.select("doc_id", N.keyword_found("text", "CAT").alias("cat"), N.keyword_found("text", "Heating").alias("heating"), N.keyword_found("text", "Home Services").alias("home"), N.keyword_found("text", "plumbers").alias("plumbers"))
 
 

@@ -49,6 +49,16 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for heavy per-row work on an input of few splits.
+
+    A small table in one row group is one scan task. Inputs with at least as
+    many splits as cores, which is any large table, are returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     shared_dir(df.sparkSession)

@@ -154,9 +154,10 @@ class Reader:
                     self.put(f, F.when(hit, blank_to_null(F.get(nums, F.lit(i)))))
 
     def each(self, fn) -> None:
-        """Same clean-up on every value."""
-        self.settle()
-        self.values = {f: fn(v) for f, v in self.values.items()}
+        """Same clean-up on every value: one function over the array of values."""
+        names = list(self.values)
+        cleaned = self.stage(F.transform(F.array(*self.values.values()), lambda v: fn(v)))
+        self.values = {f: F.get(cleaned, F.lit(i)) for i, f in enumerate(names)}
 
     # -- result ------------------------------------------------------------
     def finish(self, out: str) -> DataFrame:
