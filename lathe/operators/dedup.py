@@ -60,10 +60,13 @@ def keep_first_in_category(df: DataFrame, category: str, key, order) -> DataFram
 
 
 def keep_first_scoped(df: DataFrame, category: str, key: str, scope: str, order) -> DataFrame:
-    """E6: "global" rows compete across categories, "local" ones neither check nor count."""
-    shared = keep_first(df.filter(F.col(scope) == "global"), key, order)
-    own = keep_first(df.filter(F.coalesce(F.col(scope), F.lit("local")) != "global"), [category, key], order)
-    return shared.unionByName(own)
+    """E6: "global" rows compete across categories, "local" ones neither check nor count.
+
+    One pass: a global row's group leaves the category out, a local row's keeps it.
+    """
+    shared = F.col(scope).eqNullSafe(F.lit("global"))
+    work = df.withColumns({"__shared": shared, "__own": F.when(~shared, F.col(category))})
+    return keep_first(work, ["__shared", "__own", key], order).drop("__shared", "__own")
 
 
 def demo_then_scope(df: DataFrame, category: str, key: str, scope: str, order, limit: int | None, demo: bool = False) -> DataFrame:

@@ -155,9 +155,16 @@ def fill_missing(df: DataFrame, other: str, columns) -> DataFrame:
 
 
 def one_to_many(companies: DataFrame, people: DataFrame, key: str, people_key: str) -> DataFrame:
-    """one row per person, one blank row where there is nobody."""
+    """one row per person, one blank row where there is nobody.
+
+    Written as an inner join plus the companies left over: in an inner join
+    AQE may split the people of one large company over many tasks, which a
+    left outer join forbids on its right side.
+    """
     p = people.withColumnRenamed(people_key, "__pk")
-    return companies.join(p, F.col(key) == F.col("__pk"), "left").drop("__pk")
+    staffed = companies.join(p, F.col(key) == F.col("__pk")).drop("__pk")
+    alone = companies.join(p.select("__pk").distinct(), F.col(key) == F.col("__pk"), "left_anti")
+    return staffed.unionByName(alone, allowMissingColumns=True)
 
 
 def contains_either_way(df: DataFrame, text_col: str, rules: list[tuple[str, str]], out: str, default: str | None = None) -> DataFrame:

@@ -22,7 +22,12 @@ def reachable(seeds: DataFrame, edges: DataFrame, seed: str = "url", max_pages:
     round. Each round is one join of the frontier with the edges and one
     anti join with what is known. A level always adds a page or ends, so
     ``max_pages`` rounds suffice. Lineage is cut by a reliable checkpoint.
+
+    The frontier has at most ``max_pages`` rows per site; the edges are large.
+    Stored as a table bucketed by ``src`` they are never shuffled again.
     """
+    # A page inside the seed's prefix can only lead to pages of the same origin.
+    edges = edges.filter(F.substring_index("src", "/", 3) == F.substring_index("dst", "/", 3))
     visited = cut_lineage(seeds.select(F.rtrim(F.col(seed), F.lit("/")).alias("site")).distinct().select("site", F.col("site").alias("url"), F.lit(0).alias("depth"), F.lit(1).cast("bigint").alias("rank")))
     frontier = visited
     for depth in range(1, (max_depth or max_pages) + 1):

@@ -11,7 +11,7 @@ The first order column should be (nearly) unique and numeric; the remaining
 ones break ties.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.rx import as_col, is_blank
 
@@ -35,6 +35,9 @@ def with_range(df: DataFrame, order: list[str], ranges: int | None = None) -> Da
     is numbered. A row finds its range by binary search: one staged column
     per halving, all inside generated code.
     """
+    kind = df.schema[order[0]].dataType
+    if not isinstance(kind, (T.NumericType, T.TimestampType)):
+        raise ValueError(f"the first order column must be a number or a timestamp, {order[0]!r} is {kind.simpleString()}")
     bits = range_bits(df, ranges)
     n = 1 << bits
     x = F.col(order[0]).cast("double")

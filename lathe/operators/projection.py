@@ -149,17 +149,24 @@ def free_name(name: str, taken) -> str:
     return f"{name} ({n})"
 
 
+MAX_DYNAMIC_COLUMNS = 5000
+
+
 def key_list(long: DataFrame, key: str, order: str | None = None) -> list[str]:
     """The attribute names of a long table, sorted or by first appearance.
 
     They become column headers, so this one small aggregate is read at plan
-    time; a table never has more columns than a schema can hold.
+    time. More keys than a table can have columns are an error: such data
+    belongs in the long form or a map.
     """
     if order is None:
         rows = long.select(key).filter(F.col(key).isNotNull()).distinct().orderBy(key)
     else:
         rows = long.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("__o")).orderBy("__o", key).select(key)
-    return [r[0] for r in rows.collect()]
+    names = [r[0] for r in rows.limit(MAX_DYNAMIC_COLUMNS + 1).collect()]
+    if len(names) > MAX_DYNAMIC_COLUMNS:
+        raise ValueError(f"more than {MAX_DYNAMIC_COLUMNS} distinct keys in {key!r}; keep them as a map")
+    return names
 
 
 def widen(long: DataFrame, ids, key: str, value: str, keys: list[str], order: str, last: bool = False, rename=None) -> DataFrame:

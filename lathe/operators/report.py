@@ -17,8 +17,23 @@ def fill_report(df: DataFrame, columns) -> DataFrame:
     return one.select(F.inline(entries)).withColumn("all_blank", F.col("filled") == 0)
 
 
+# Metric names of the audit report, in order.
+AUDIT_METRICS = {
+    "total": "Total Websites Audited",
+    "reachable": "Successfully Crawled",
+    "failed": "Failed to Crawl",
+    "excellent": "Excellent SEO Status",
+    "good": "Good SEO Status",
+    "fair": "Fair SEO Status",
+    "poor": "Poor SEO Status",
+    "perfect_alt": "Sites with Perfect Alt Tags",
+    "missing_alt": "Sites Missing Alt Tags",
+    "mean_links": "Average Internal Links",
+}
+
+
 def audit_summary(audit: DataFrame) -> DataFrame:
-    """metric/count pairs. Unreachable rows have no missing alts and count as perfect."""
+    """metric/amount pairs. Unreachable rows have no missing alts and count as perfect."""
     one = audit.agg(
         F.count(F.lit(1)).cast("double").alias("total"),
         F.count_if(F.col("http_status").isNotNull()).cast("double").alias("reachable"),
@@ -28,7 +43,8 @@ def audit_summary(audit: DataFrame) -> DataFrame:
         F.count_if(F.col("images_missing_alt") > 0).cast("double").alias("missing_alt"),
         F.bround(F.coalesce(F.avg("internal_links_count"), F.lit(0.0)), 1).alias("mean_links"),
     )
-    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("amount")) for c in one.columns])))
+    pairs = [F.struct(F.lit(name).alias("metric"), F.col(c).alias("amount")) for c, name in AUDIT_METRICS.items()]
+    return one.select(F.inline(F.array(*pairs)))
 
 
 def filled_counts(df: DataFrame, *columns: str) -> DataFrame:

@@ -166,12 +166,13 @@ def _(spark, sf):
 
 @query(
     "audit_summary",
-    f"""select unnest(['total','reachable','failed','perfect_alt','missing_alt','mean_links']) as metric, unnest([t, r, t - r, t, 0.0, m]) as amount from (select count(*)::double t, count(http_status)::double r, round_even(avg(internal_links_count), 1)::double m from ({AUDIT}))""",
+    f"""select unnest(['Total Websites Audited','Successfully Crawled','Failed to Crawl','Excellent SEO Status','Good SEO Status','Fair SEO Status','Poor SEO Status','Sites with Perfect Alt Tags','Sites Missing Alt Tags','Average Internal Links']) as metric,
+    unnest([t, r, t - r, 0, g, r - g, 0, t, 0, m]) as amount from (select count(*)::double t, count(http_status)::double r, sum(case when http_status = 200 and internal_links_count >= 10 then 1 else 0 end)::double g, round_even(avg(internal_links_count), 1)::double m from ({AUDIT}))""",
 )
 def _(spark, sf):
     from ..operators.report import audit_summary
 
-    return audit_summary(audited(spark, sf)).filter(~F.col("metric").isin("excellent", "good", "fair", "poor"))
+    return audit_summary(audited(spark, sf))
 
 
 @query("listing_cards", "select page_id, i as pos, concat('SKU', page_id, '-', i) as sku, case when i = 0 then concat('Lamp ', page_id) else 'Plain name' end as name, concat('https://shop.example/p/', page_id, '/', i) as url, case when i = 0 then 'https://cdn.example/a.jpg' else 'https://cdn.example/b.jpg' end as image, concat(page_id, '.50') as price from pages, (select unnest([0, 1]) i) t")

@@ -1,5 +1,7 @@
 """Product facts from landed pages."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.html import attribute, clean, cut_at, first_tag, inner, inner_all, page_lines, without_code
@@ -17,38 +19,60 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 # --- A7 listing cards -----------------------------------------------------
 
 
-def card_structs(html, base_url, card_mark: str = r"<[a-z]+\b[^>]*\bdata-pid\s*=") -> Column:
+@dataclass(frozen=True)
+class CardForm:
+    """Where a shop's listing page keeps the parts of a card.
+
+    ``mark`` matches the card's opening tag; classes are regexes.
+    """
+
+    mark: str = r"<[a-z]+\b[^>]*\bdata-pid\s*="
+    sku_attribute: str = "data-pid"
+    name_class: str = "product-name"
+    image_class: str = "tile-image"
+    price_class: str = "value"
+
+
+TILE = CardForm()
+#: Shop systems that mark a card with a class: item or card blocks with title and price classes.
+ITEM = CardForm(r"<(?:li|div|article)\b[^>]*class\s*=\s*[\"'][^\"']*\bproduct(?:-item|-card|-tile)?\b", "data-sku", "(?:product-?(?:item-?)?(?:name|title)|card-?title|woocommerce-loop-product__title)", "", "(?:price|amount)")
+
+
+def card_structs(html, base_url, form: CardForm = TILE) -> Column:
     """Array of card structs; a card reaches to the start of the next one."""
 
+    def of_class(name):
+        return rf"class\s*=\s*[\"'][^\"']*\b{name}" if name else ""
+
     def read(card):
         head = grab(card, r"(?is)^(<[^>]*>)")
         label = attribute(head, "aria-label")
-        named = clean(grab(card, r"(?is)<([a-z0-9]+)\b(?=[^>]*class\s*=\s*[\"'][^\"']*product-name)[^>]*>(.*?)</\1", 2))
+        named = clean(grab(card, rf"(?is)<([a-z0-9]+)\b(?=[^>]*{of_class(form.name_class)})[^>]*>(.*?)</\1", 2))
         name = F.when(F.lower(label) == "compare", None).otherwise(label)
         link = attribute(first_tag(card, "a", r"\shref\s*="), "href")
-        image = first_tag(card, "img", r"class\s*=\s*[\"'][^\"']*tile-image")
-        image = F.coalesce(image, first_tag(card, "img"))
+        image = F.coalesce(first_tag(card, "img", of_class(form.image_class)), first_tag(card, "img"))
         src = F.coalesce(attribute(image, "src"), attribute(image, "data-src"), first_srcset(attribute(image, "srcset")))
-        sales = F.coalesce(grab(card, r"(?is)<span\b[^>]*class\s*=\s*[\"'][^\"']*\bsales\b[^>]*>(.*)$"), card)
-        tag = first_tag(sales, "span", r"class\s*=\s*[\"']value")
-        amount = F.coalesce(attribute(tag, "content"), clean(inner(sales, "span", r"class\s*=\s*[\"']value")))
+        sales = F.coalesce(grab(card, rf"(?is)<span\b[^>]*{of_class('sales')}[^>]*>(.*)$"), card)
+        tag = first_tag(sales, "span", of_class(form.price_class))
+        amount = F.coalesce(attribute(tag, "content"), clean(inner(sales, "span", of_class(form.price_class))))
         return F.struct(
-            F.trim(attribute(head, "data-pid")).alias("sku"),
+            F.trim(attribute(head, form.sku_attribute)).alias("sku"),
             first_present(name, named).alias("name"),
             F.when(link.isNotNull(), resolve(base_url, link)).alias("url"),
             absolute_image(src).alias("image"),
             amount.alias("price"),
         )
 
-    return F.transform(cut_at(html, card_mark), read)
+    return F.transform(cut_at(html, form.mark), read)
 
 
-def listing_cards(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """One row per card with its position; rows need both SKU and URL."""
+def listing_cards(pages: DataFrame, url: str = "url", html: str = "html", form: CardForm = TILE, need_sku: bool = True) -> DataFrame:
+    """One row per card with its position; rows need a URL, and a SKU unless one is generated later."""
     rest = [c for c in pages.columns if c != html]
-    rows = pages.select(*rest, F.posexplode(card_structs(html, url)).alias("pos", "card"))
+    rows = pages.select(*rest, F.posexplode(card_structs(html, url, form)).alias("pos", "card"))
     rows = rows.select(*rest, "pos", *[F.col(f"card.{f}").alias(f"card_{f}") for f in ("sku", "name", "url", "image", "price")])
-    return rows.filter(present("card_sku").isNotNull() & present("card_url").isNotNull())
+    rows = rows.filter(present("card_url").isNotNull())
+    return rows.filter(present("card_sku").isNotNull()) if need_sku else rows
 
 
 # --- A8/A9 embedded JSON --------------------------------------------------

@@ -48,7 +48,7 @@ def number_lines(spark: SparkSession, folder: str) -> DataFrame:
     One file is one sheet, which its format bounds to about a million rows;
     files spread over tasks.
     """
-    whole = spark.read.option("wholetext", True).text(folder)
+    whole = spark.read.text(folder, wholetext=True)
     lines = whole.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "").alias("sheet"), F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line"))
     return lines.select("sheet", (F.col("pos") + 1).cast("bigint").alias("line_no"), "line")
 
