@@ -4,7 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from .rx import as_col, blank_to_null, first_present, grab, grab_all, present, sub
+from .rx import as_col, blank_to_null, grab, grab_all, present, sub
 from .text import SKU_TOKEN, squeeze
 
 
@@ -137,7 +137,3 @@ def looks_like_sku(c) -> Column:
     """D12."""
     t = F.trim(as_col(c))
     return F.coalesce(((F.length(t) <= 12) & t.rlike(r"\d")) | (t.contains("-") & t.rlike("[A-Za-z]")), F.lit(False))
-
-
-def best_sku(*candidates) -> Column:
-    return first_present(*candidates)

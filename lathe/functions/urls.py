@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-from .rx import as_col, blank_to_null, grab, has, present, strip, sub
+from .rx import as_col, blank_to_null, grab, has, strip, sub
 
 # Query keys that only track a visitor.
 TRACKING_KEYS = ("miniprofileurn", "lipi", "trk", "trkinfo", "originalreferer")
@@ -198,7 +198,3 @@ def first_srcset(c) -> Column:
 def valid_url(c) -> Column:
     """D1."""
     return F.coalesce(as_col(c).rlike(r"^https?://"), F.lit(False))
-
-
-def image_or_null(c) -> Column:
-    return present(c)

@@ -3,8 +3,8 @@
 A plain window over a category sends all rows of the category to one task.
 Here every key is cut into ranges of the order column: rows are numbered
 inside (key, range) groups, the per-range totals are added up on the small
-aggregated side, and joined back. Range bounds are approximate percentiles,
-so a hot key is spread evenly; they are a scalar subquery, so the whole
+aggregated side, and joined back. Range bounds are percentiles of a hashed part
+of the rows, so a hot key is spread evenly; they are a scalar subquery, so the whole
 operator stays one lazy plan.
 
 The first order column should be (nearly) unique and numeric; the remaining
@@ -23,17 +23,19 @@ def range_bits(df: DataFrame, ranges: int | None = None) -> int:
 
 
 _HASH_SPACE = 1 << 31
-_ROWS_PER_RANGE = 1000
+_ROWS_PER_RANGE = 100
 
 
 def with_range(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
     """Adds ``__range``, the index of the order range a row falls in.
 
-    The bounds are one scalar subquery: percentiles of about a thousand rows
+    The bounds are one scalar subquery: percentiles of about a hundred rows
     per range, picked by hash, so the one task that merges them stays small
     on any input. They only decide how evenly the work is spread; every row
-    is numbered. A row finds its range by binary search: one staged column
-    per halving, all inside generated code.
+    is numbered. Count, hash and exact percentiles give the same bounds each
+    time, so the totals and the rows always agree on the ranges. A row finds
+    its range by binary search: one staged column per halving, all inside
+    generated code.
     """
     kind = df.schema[order[0]].dataType
     if not isinstance(kind, (T.NumericType, T.TimestampType)):
@@ -43,7 +45,7 @@ def with_range(df: DataFrame, order: list[str], ranges: int | None = None) -> Da
     x = F.col(order[0]).cast("double")
     quota = df.select((F.lit(float(_ROWS_PER_RANGE * n * _HASH_SPACE)) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("q")).scalar()
     picked = df.filter(F.pmod(F.xxhash64(*order), F.lit(_HASH_SPACE)) < quota)
-    bounds = picked.select(F.percentile_approx(x, [i / n for i in range(1, n)], 10 * n)).scalar()
+    bounds = picked.select(F.percentile(x, [i / n for i in range(1, n)])).scalar()
     out = df.withColumn("__at0", F.lit(0))
     for i in range(bits):
         step = 1 << (bits - 1 - i)

@@ -11,6 +11,7 @@ from ..operators.filters import type_matches
 from ..operators.joins import enrich, pending
 from ..operators.ordered import running_index
 from ..operators.projection import CATALOG_COLUMNS, exact_columns
+from ..session import stored
 from ..spec.packs import extract_dimensions
 
 FIELD_OF = {
@@ -31,9 +32,10 @@ FIELD_OF = {
 def standard_catalogue(listing: DataFrame, pack: str, order: str = "ord", rule: str = "R1") -> DataFrame:
     """Re-parse flow: de-duplicate by URL, number inside the category, read the spec text, standard columns.
 
+    Numbering scans its input several times, so the unique rows are stored first.
     ``listing``: ord, Category, Manufacturer, Product URL, Product Name, SKU, Specifications, …
     """
-    unique = keep_first(listing, "Product URL", order)
+    unique = stored(keep_first(listing, "Product URL", order), "unique")
     numbered = running_index(unique, order, ["Category"], "Index")
     read = extract_dimensions(numbered, "Specifications", pack)
     named = read.withColumns(

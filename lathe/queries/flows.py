@@ -12,7 +12,7 @@ from ..spec.packs import extract_by_vendor
 from ..streaming import incremental as M
 from .copies import ORDER, ORDER_SQL
 from .measures import FORMS, text_column, value
-from .registry import query, table
+from .registry import query, table, texts
 
 
 def S(c):
@@ -24,7 +24,7 @@ def S(c):
 
 def product_listing(spark, sf):
     """Each part as listed twice; the second copy carries other text and must lose."""
-    p = table(spark, sf, "part").select("p_partkey", "p_size", "p_name", "p_type", "p_brand")
+    p = texts(spark, sf, "part").select("p_partkey", "p_size", "p_name", "p_type", "p_brand")
     spec = F.when(F.col("p_partkey") % 2 == 0, text_column(FORMS["EI"][0][0])).otherwise(text_column(FORMS["EI"][1][0]))
     base = p.select(
         (F.col("p_partkey") * 2).alias("ord"),
@@ -124,7 +124,7 @@ def collection_json(spark, sf):
             F.array(variant(0), variant(1), variant(2)).alias("variants"),
         )
 
-    return table(spark, sf, "part").select("p_partkey", F.to_json(F.struct(F.array(product(0), product(1)).alias("products"))).alias("body"))
+    return texts(spark, sf, "part").select("p_partkey", F.to_json(F.struct(F.array(product(0), product(1)).alias("products"))).alias("body"))
 
 
 @query(

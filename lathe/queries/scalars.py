@@ -177,7 +177,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     raw = F.concat(F.lit("$"), F.format_number("o_totalprice", 2))
-    return table(spark, sf, "orders").select("o_orderkey", N.price_whole(raw).alias("whole"), N.price_two_places(N.price_text(raw)).alias("plain"), N.cents_heuristic("o_totalprice").alias("cents"))
+    return texts(spark, sf, "orders").select("o_orderkey", N.price_whole(raw).alias("whole"), N.price_two_places(N.price_text(raw)).alias("plain"), N.cents_heuristic("o_totalprice").alias("cents"))
 
 
 @query("price_forms", "select p_partkey, concat('$', p_size, ',000') as symbol, concat(p_size, '000') as tier, concat('$', p_size) as listed, p_size * 1000 + 7 as members from part")
@@ -367,7 +367,7 @@ def filled(form: str):
 
 @query("family_rules", "select p_partkey, " + ", ".join(f"{sql} as {r.lower()}" for r, (_, sql) in FAMILY_FORMS.items()) + " from part")
 def _(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", *[FM.family_id(filled(form), r).alias(r.lower()) for r, (form, _) in FAMILY_FORMS.items()])
+    return texts(spark, sf, "part").select("p_partkey", *[FM.family_id(filled(form), r).alias(r.lower()) for r, (form, _) in FAMILY_FORMS.items()])
 
 
 @query("family_by_vendor", "select p_partkey, case when p_brand = 'Brand#1' then split_part(p_name, ' ', 1) when p_brand = 'Brand#2' then p_name else concat(p_name, ', x') end as family_id from part")

@@ -59,6 +59,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def stored(df: DataFrame, label: str = "stage") -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For results that several later steps scan: they read only the columns
+    they need, and a lost executor costs no recomputation of the plan.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     shared_dir(df.sparkSession)

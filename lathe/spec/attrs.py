@@ -7,7 +7,7 @@ notations they read.
 from pyspark.sql import Column, functions as F
 
 from ..functions.numbers import NUM, fraction_text, number_or_raw, number_text, whole_number_text
-from ..functions.rx import as_col, blank_to_null, first_of, first_present, grab, grab_all, has, let, like, lines_of, present, strip, sub
+from ..functions.rx import as_col, blank_to_null, first_of, grab, grab_all, has, let, like, lines_of, present, sub
 from ..functions.text import html_to_line, squeeze
 from .lines import block_after, line_after, map_first, map_last
 
@@ -553,11 +553,3 @@ def rug_fields(c) -> dict[str, Column]:
 
 #: Cleaner per attribute of the pipe list.
 PIPE_CLEANERS = {"Finish": clean_finish, "Weight": weight_lb_only, "Fabric": clean_fabric, "Wattage": clean_wattage, "Socket": clean_socket}
-
-
-def best(*options) -> Column:
-    return first_present(*options)
-
-
-def text_or_null(c) -> Column:
-    return blank_to_null(strip(c))

@@ -7,7 +7,6 @@ no fold, and the whole text is read.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numbers import fraction_value
 from ..functions.rx import as_col, blank_to_null, grab, like, lines_of, strip
 from ..functions.text import drop_tags, squeeze, unwrap_quoted
 from ..operators.filters import looks_feet, looks_inch
@@ -292,7 +291,3 @@ def ordered_line_rules(c) -> dict[str, Column]:
     count = F.coalesce(grab(pick("cushion_count"), r"(\d+)"), F.trim(grab(pick("cushion_count"), r"(?s):(.*)$")))
     out["cushion"] = blank_to_null(F.concat_ws(", ", count, after("cushion_type", "standard cushion")))
     return out
-
-
-def numeric(c) -> Column:
-    return fraction_value(c)

@@ -58,6 +58,7 @@ SCALARS = [
     (T.html_to_text, "<p>a<br>b &amp; c</p><ul><li>x</li></ul>", "a\nb & c\n- x"),
     (T.unwrap_quoted, '"a ""b"" c"', 'a "b" c'),
     (T.zero_to_null, "0.0", None),
+    (T.clean_label, " Pile  Height: ", "pile height"),
     (U.domain, "https://www.Ab.com:80/x", "ab.com:80"),
     (U.with_scheme, "a.com", "http://a.com"),
     (U.base_only, "https://a.com/x/?b#c", "https://a.com/x"),
@@ -71,7 +72,7 @@ SCALARS = [
     (K.sku_capitalised, "ABi-01", "Abi-01"),
     (K.sku_capitalised, "LAYLA-03", "Layla-03"),
     (K.sku_from_item_line, "Item no. VK 120 A", "VK 120 A"),
-    (lambda c: K.generated_sku(c, F.lit("Mirrors"), F.lit(1)), "Honning", "HONMI001"),
+    (lambda c: K.generated_sku(c, F.lit("Mirrors"), F.lit(1)), "Honest", "HONMI001"),
     (lambda c: K.generated_sku(c, F.lit("O"), F.lit(7), K.PLAIN), "Li", "LIXOX7"),
     (lambda c: K.generated_sku(c, F.lit("Rugs"), F.lit(12345)), "Acme", "ACMRU12345"),
     (lambda c: FM.family_id(c, "R1"), "Blair Pull - Williamsburg", "Blair Pull"),
