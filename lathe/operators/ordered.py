@@ -1,17 +1,16 @@
 """Order-aware operators that never put a whole key into one task (H1-H11, I).
 
 A plain window over a category sends all rows of the category to one task.
-Here every key is cut into ranges of the order column: rows are numbered
-inside (key, range) groups, the per-range totals are added up on the small
-aggregated side, and joined back. Range bounds are percentiles of a hashed part
-of the rows, so a hot key is spread evenly; they are a scalar subquery, so the whole
-operator stays one lazy plan.
-
-The first order column should be (nearly) unique and numeric; the remaining
-ones break ties.
+Here every key is cut into ranges of the order: rows are numbered inside
+(key, range) groups, the per-range totals are added up on the small
+aggregated side, and joined back. Ranges are cut in the full lexicographic
+order of all order columns, from a hashed part of the rows, so neither a hot
+key nor a hot first order column (one source with a third of all rows) ends
+in one task. The bounds are a scalar subquery: the operator stays one lazy
+plan. The order columns together should be unique.
 """
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.rx import as_col, is_blank
 
@@ -29,28 +28,26 @@ _ROWS_PER_RANGE = 100
 def with_range(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
     """Adds ``__range``, the index of the order range a row falls in.
 
-    The bounds are one scalar subquery: percentiles of about a hundred rows
-    per range, picked by hash, so the one task that merges them stays small
-    on any input. They only decide how evenly the work is spread; every row
-    is numbered. Count, hash and exact percentiles give the same bounds each
-    time, so the totals and the rows always agree on the ranges. A row finds
-    its range by binary search: one staged column per halving, all inside
-    generated code.
+    About a hundred rows per range are picked by hash, sorted in one task,
+    and every hundredth is a bound: that task stays small on any input. The
+    bounds only decide how evenly the work is spread; every row is numbered.
+    Count, hash and sort give the same bounds each time, so totals and rows
+    always agree on the ranges. A row finds its range by binary search: one
+    staged column per halving, all inside generated code.
     """
-    kind = df.schema[order[0]].dataType
-    if not isinstance(kind, (T.NumericType, T.TimestampType)):
-        raise ValueError(f"the first order column must be a number or a timestamp, {order[0]!r} is {kind.simpleString()}")
     bits = range_bits(df, ranges)
     n = 1 << bits
-    x = F.col(order[0]).cast("double")
+    here = F.struct(*order)
     quota = df.select((F.lit(float(_ROWS_PER_RANGE * n * _HASH_SPACE)) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("q")).scalar()
     picked = df.filter(F.pmod(F.xxhash64(*order), F.lit(_HASH_SPACE)) < quota)
-    bounds = picked.select(F.percentile(x, [i / n for i in range(1, n)])).scalar()
+    part = picked.agg(F.sort_array(F.collect_list(here)).alias("s"))
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get("s", F.floor(i * F.size("s") / n).cast("int")))
+    bounds = part.select(cuts).scalar()
     out = df.withColumn("__at0", F.lit(0))
     for i in range(bits):
         step = 1 << (bits - 1 - i)
         at = F.col(f"__at{i}")
-        out = out.withColumn(f"__at{i + 1}", at + F.when(F.get(bounds, at + (step - 1)) <= x, step).otherwise(0))
+        out = out.withColumn(f"__at{i + 1}", at + F.when(F.get(bounds, at + (step - 1)) <= here, step).otherwise(0))
     return out.withColumnRenamed(f"__at{bits}", "__range").drop(*[f"__at{i}" for i in range(bits)])
 
 

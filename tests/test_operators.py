@@ -126,9 +126,24 @@ def test_ranges_share_a_hot_key(table):
     assert max(r["count"] for r in sizes) < N / 3
 
 
-def test_order_must_be_a_number(table):
-    with pytest.raises(ValueError):
-        O.running_index(table, "key")
+def test_hot_first_order_column_is_spread(table, rows):
+    """One source holds every row: the position behind it still cuts the ranges."""
+    t = table.withColumn("source", F.lit("one"))
+    sizes = O.with_range(t, ["source", "ord"], 8).groupBy("__range").count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < N / 4
+    got = {r["ord"]: r["i"] for r in O.running_index(t, ["source", "ord"], (), "i", 8).collect()}
+    assert got == {r[0]: i for i, r in enumerate(sorted(rows), 1)}
+
+
+def test_text_order(table, rows):
+    got = {r["ord"]: r["i"] for r in O.running_index(table, ["sku", "ord"], ["key"], "i", 8).collect()}
+    for v in by_key(rows).values():
+        for i, r in enumerate(sorted(v, key=lambda r: (r[2] is not None, r[2] or "", r[0])), 1):
+            assert got[r[0]] == i
+
+
+def test_empty_input(table):
+    assert O.running_index(table.filter("ord < 0"), "ord", ["key"]).count() == 0
 
 
 def test_top_n(table, rows):
