@@ -37,7 +37,7 @@ def place_parts(c) -> Column:
 def miles_in_text(c) -> Column:
     """Every distance in miles, as doubles."""
     hits = grab_all(F.lower(ascii_digits(c)), r"(\d+(?:\.\d+)?)\s*(?:mi|mile|miles)\b")
-    return F.transform(hits, lambda h: h.cast("double"))
+    return F.transform(hits, lambda h: h.try_cast("double"))
 
 
 def nearest_miles(c) -> Column:

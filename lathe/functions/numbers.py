@@ -43,7 +43,7 @@ GRAMS_PER_LB = 453.592
 
 def number_text(x, scale: int = 4) -> Column:
     """Decimal text without trailing zeros; half-even at ``scale``."""
-    rounded = F.bround(as_col(x).cast("double"), scale).cast(f"decimal(24,{scale})").cast("string")
+    rounded = F.bround(as_col(x).try_cast("double"), scale).try_cast(f"decimal(24,{scale})").cast("string")
     if scale == 0:
         return rounded
     return F.rtrim(sub(rounded, r"(\.\d*?)0+$", "$1"), F.lit("."))
@@ -91,10 +91,10 @@ def fraction_value(c) -> Column:
 
     def read(s):
         def part(p, g):
-            return grab(s, p, g).cast("double")
+            return grab(s, p, g).try_cast("double")
 
         return F.coalesce(
-            grab(s, rf"^({NUM})$").cast("double"),
+            grab(s, rf"^({NUM})$").try_cast("double"),
             part(mixed, 1) + part(mixed, 2) / F.nullif(part(mixed, 3), F.lit(0.0)),
             part(plain, 1) / F.nullif(part(plain, 2), F.lit(0.0)),
         )
@@ -132,19 +132,19 @@ def inline_vulgar(c) -> Column:
 
 
 def kg_to_lb(x) -> Column:
-    return F.bround(as_col(x).cast("double") * LB_PER_KG, 0)
+    return F.bround(as_col(x).try_cast("double") * LB_PER_KG, 0)
 
 
 def mm_to_inch(x) -> Column:
-    return F.bround(as_col(x).cast("double") / MM_PER_INCH, 0)
+    return F.bround(as_col(x).try_cast("double") / MM_PER_INCH, 0)
 
 
 def grams_to_lb(x) -> Column:
-    return as_col(x).cast("double") / GRAMS_PER_LB
+    return as_col(x).try_cast("double") / GRAMS_PER_LB
 
 
 def cm_to_inch(x) -> Column:
-    return F.bround(as_col(x).cast("double") / CM_PER_INCH, 2)
+    return F.bround(as_col(x).try_cast("double") / CM_PER_INCH, 2)
 
 
 def cm_text_to_inch(c) -> Column:
@@ -184,13 +184,13 @@ def price_text(c) -> Column:
 def price_whole(c) -> Column:
     """Truncated amount; text that is no amount is kept."""
     s = F.trim(sub(c, r"[$,]", ""))
-    return F.coalesce(s.try_cast("double").cast("bigint").cast("string"), s)
+    return F.coalesce(s.try_cast("double").try_cast("bigint").cast("string"), s)
 
 
 def price_two_places(c) -> Column:
     """Two decimals, text kept when it is no number."""
     s = present(c)
-    return F.coalesce(F.bround(s.try_cast("double"), 2).cast("decimal(16,2)").cast("string"), s)
+    return F.coalesce(F.bround(s.try_cast("double"), 2).try_cast("decimal(16,2)").cast("string"), s)
 
 
 def price_with_symbol(c) -> Column:
@@ -213,7 +213,7 @@ def price_without_msrp(c) -> Column:
 
 def cents_heuristic(x) -> Column:
     """Amounts of 1000 and more are cents."""
-    v = as_col(x).cast("double")
+    v = as_col(x).try_cast("double")
     return F.when(v >= 1000, v / 100).otherwise(v)
 
 
@@ -226,7 +226,8 @@ def typed_number(c) -> Column:
     """K32, text form: whole numbers without a point, non-numbers unchanged."""
     s = F.trim(as_col(c))
     v = s.try_cast("double")
-    return F.when(v.isNull(), s).when(v == F.floor(v), v.cast("bigint").cast("string")).otherwise(v.cast("string"))
+    whole = v.try_cast("bigint")
+    return F.when(v.isNull(), s).when(v == whole.cast("double"), whole.cast("string")).otherwise(v.cast("string"))
 
 
 def nth_numbers(c, n: int, pattern: str = rf"({NUM})") -> list[Column]:

@@ -66,8 +66,12 @@ def write_by_category(df: DataFrame, path: str, category: str, order) -> None:
 
 
 def replace_categories(df: DataFrame, path: str, category: str) -> None:
-    """Only the categories in ``df`` are replaced."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(category).parquet(path)
+    """Only the categories in ``df`` are replaced.
+
+    The rebalance hint gives each category few files and lets AQE cut a large
+    category into several tasks.
+    """
+    df.hint("rebalance", category).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(category).parquet(path)
 
 
 def upsert_by_category(new: DataFrame, path: str, category: str, key: str, order) -> None:

@@ -152,7 +152,7 @@ def source_facts(html) -> dict[str, Column]:
         t = F.trim(F.regexp_replace(F.from_json(F.concat(F.lit('{"v":"'), raw, F.lit('"}')), "v string")["v"], "<[^>]+>", " "))
         return F.when(F.length(t) > 20, t)
 
-    described = F.coalesce(*[long_enough(grab(html, rf'(?i)"{k}"\s*:\s*"((?:[^"\\]|\\.)+)"')) for k in ("description", "short_description")])
+    described = F.coalesce(*[long_enough(grab(html, rf'(?i)"{k}"\s*:\s*"([^"\\]*+(?:\\.[^"\\]*+)*+)"')) for k in ("description", "short_description")])
     sizes = {axis: F.coalesce(*[grab(html, rf'(?i)"{k}"\s*:\s*([\d.]+)') for k in keys]) for axis, keys in CM_KEYS.items()}
     text = F.concat_ws(";", *[F.concat(F.lit(f"{a}="), v) for a, v in sizes.items()])
     return {"family_id": family, "description": described, "sizes_cm": blank_to_null(text)}

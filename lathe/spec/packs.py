@@ -908,9 +908,9 @@ def _(r):
     seen = sum((v.isNotNull().cast("int") for v in axes.values()), F.lit(0))
     enough = r.stage(seen >= 2)
     for f, v in axes.items():
-        r.put(f, number_text(v.cast("double") / 2.54, 2), when=enough)
+        r.put(f, number_text(v.try_cast("double") / 2.54, 2), when=enough)
     run = rf"{ND}{X}{ND}{X}{ND}\s*cm"
     for i, f in enumerate(("width", "depth", "height"), start=1):
-        r.put(f, number_text(grab(r.t, run, i).cast("double") / 2.54, 2), when=~enough)
+        r.put(f, number_text(grab(r.t, run, i).try_cast("double") / 2.54, 2), when=~enough)
 
 

@@ -13,6 +13,7 @@ from lathe.operators import audit, filters
 from lathe.operators.joins import resolve_list_literal
 from lathe.operators.projection import free_name
 from lathe.sinks.tables import sheet_name
+from lathe.sources import pages as P
 from lathe.spec import attrs, lines, packs
 
 SCALARS = [
@@ -187,12 +188,25 @@ def test_grammar(spark, code):
 
 
 def test_every_grammar_survives_odd_text(spark):
-    odd = [None, "", "nan", "no numbers", '"', "x x x", "::", "1/0", "12", "Ø", "(((", "W", "9" * 40]
+    odd = [None, "", "nan", "no numbers", '"', "x x x", "::", "1/0", "12", "Ø", "(((", "W", "9" * 40, "9" * 400 + '" W', "W. 1.2.3″ 4..5\" H x . D", "Width: .\nHeight: 1/0", "a\u00a0b", "$1 \\\\ $2 [", "x" * 20000]
     df = spark.createDataFrame([(t,) for t in odd], "spec string")
     for code in packs.PACKS:
         assert packs.extract_dimensions(df, "spec", code).count() == len(odd), code
 
 
+def test_every_scalar_survives_odd_text(spark):
+    odd = [None, "", "nan", '"', "1/0", "9" * 400, "1.2.3", ".", "$1 \\ $2 [", "%zz", "http://", "//", "?#&=", "x" * 20000, '{"a":', "<p", "a\u00a0b"]
+    df = spark.createDataFrame([(t,) for t in odd], "v string")
+    for fn in {fn for fn, _, _ in SCALARS}:
+        assert len(df.select(fn(F.col("v")).alias("o")).collect()) == len(odd)
+    rest = [attrs.measure_map, attrs.finish_options, attrs.canopy_parts, lines.caps_sections, lines.label_pairs, P.row_pairs, P.section_map, P.embedded_product, N.to_decimal, N.typed_number, N.count_from_text, A.nearest_miles]
+    groups = [attrs.com_col, attrs.upholstery, attrs.electrical, attrs.pipe_fields, attrs.rug_fields, lines.sheet_attributes, lines.ordered_line_rules, lines.pipe_attributes, P.source_facts, P.technical_specs, P.bold_facts]
+    for fn in rest:
+        assert len(df.select(fn(F.col("v")).alias("o")).collect()) == len(odd)
+    for fn in groups:
+        assert len(df.select(*[c.alias(k) for k, c in fn(F.col("v")).items()]).collect()) == len(odd)
+
+
 def test_section_headings(evaluate):
     text = "Finish: brass\nGlass\nLamping\nE26\nFinish\nnickel"
     s = lambda h: lambda c: lines.sections(c, ["Finish", "Lamping", "Mounting"])[h]
