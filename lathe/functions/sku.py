@@ -67,7 +67,7 @@ def sku_or_generated(page_sku, slug_sku, generated) -> Column:
 def sku_token(c) -> Column:
     """Blanks out, hyphenated token preferred, trailing ``p`` dropped."""
     t = sub(c, r"(?U)\s+", "")
-    token = F.coalesce(grab(t, r"([A-Za-z0-9]+(?:[-_][A-Za-z0-9]+)+)"), sub(t, r"[^A-Za-z0-9\-_]", ""))
+    token = F.coalesce(grab(t, r"(?<![A-Za-z0-9])([A-Za-z0-9]++(?:[-_][A-Za-z0-9]++)+)"), sub(t, r"[^A-Za-z0-9\-_]", ""))
     return blank_to_null(sub(token, r"(?i)[-_]?p$", ""))
 
 

@@ -72,7 +72,7 @@ ENTITIES = (
     ("&amp;", "&"),
 )
 
-SKU_TOKEN = r"\b[A-Z0-9]+(?:-[A-Z0-9]+)+\b"
+SKU_TOKEN = r"\b[A-Z0-9]++(?:-[A-Z0-9]++)+\b"
 
 
 def squeeze(c) -> Column:

@@ -63,7 +63,8 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     For results that several later steps scan: they read only the columns
-    they need, and a lost executor costs no recomputation of the plan.
+    they need, and a lost executor costs no recomputation of the plan. The
+    folder's own retention removes it, like checkpoints.
     """
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)

@@ -226,7 +226,7 @@ def base_block(dimensions, specs) -> Column:
 def semicolon_details(c) -> dict[str, Column]:
     """Cushion, seat, socket and wattage of a ``;`` separated detail text."""
     out = {k: F.trim(grab(c, rf"(?i){w}[^:]*:\s*([^;]+)")) for k, w in (("cushion", "Cushion"), ("seat_depth", r"Seat\s*Depth"), ("seat_width", r"Seat\s*Width"), ("seat_height", r"Seat\s*Height"))}
-    out["socket"] = F.trim(F.coalesce(grab(c, r"(?i)([A-Za-z]+\s*-?\s*\d+\s*Socket)"), grab(c, r"(?i)Socket[^:]*:\s*([^;/]+)")))
+    out["socket"] = F.trim(F.coalesce(grab(c, r"(?i)(?<![A-Za-z])([A-Za-z]++\s*-?\s*\d+\s*Socket)"), grab(c, r"(?i)Socket[^:]*:\s*([^;/]+)")))
     out["wattage"] = F.concat(grab(c, r"(?i)(\d+)\s*(?:Max\s*)?(?:Wattage|Watts|Watt|W)\b"), F.lit(" Max Wattage"))
     return out
 

@@ -255,14 +255,14 @@ def ordered_line_rules(c) -> dict[str, Column]:
     lines = F.transform(lines_of(c), squeeze)
     # Which line a rule owns, in order.
     owners = {
-        "weight": r"(?i)(?=.*weight)(?=.*\(lb)",
-        "dimension": r"(?i)(?=.*dimension)(?=.*\(in)",
-        "seat_height": r"(?i)(?=.*seat height)(?=.*\(in)",
-        "seat_depth": r"(?i)(?=.*seat depth)(?=.*\(in)",
-        "arm_height": r"(?i)(?=.*arm height)(?=.*\(in)",
-        "cushion_count": r"(?i).*number of cushions",
-        "cushion_type": r"(?i).*standard cushion",
-        "construction": r"(?i).*kd construction",
+        "weight": r"(?i)^(?=.*weight)(?=.*\(lb)",
+        "dimension": r"(?i)^(?=.*dimension)(?=.*\(in)",
+        "seat_height": r"(?i)^(?=.*seat height)(?=.*\(in)",
+        "seat_depth": r"(?i)^(?=.*seat depth)(?=.*\(in)",
+        "arm_height": r"(?i)^(?=.*arm height)(?=.*\(in)",
+        "cushion_count": r"(?i)number of cushions",
+        "cushion_type": r"(?i)standard cushion",
+        "construction": r"(?i)kd construction",
         "content": r"(?i)^content",
         "color": r"(?i)^color",
     }

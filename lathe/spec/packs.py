@@ -805,10 +805,10 @@ def _(r):
         return F.get(F.filter(vals, lambda v: v.isNotNull()), F.lit(0))
 
     num = rf'(?i){N}\s*"?\s*'
-    r.put("height", first_in_parts(num + r"oah\b", num + r"h\b", rf"(?i)(?=.*overall height|.*height$).*?{N}"))
-    r.put("diameter", first_in_parts(num + r"dia\.?\b", rf"(?i)(?=.*diameter|.*\bdia\b).*?{N}"))
+    r.put("height", first_in_parts(num + r"oah\b", num + r"h\b", rf"(?i)^(?=.*overall height|.*height$).*?{N}"))
+    r.put("diameter", first_in_parts(num + r"dia\.?\b", rf"(?i)^(?=.*diameter|.*\bdia\b).*?{N}"))
     r.put("width", first_in_parts(num + r"w\b"))
-    r.put("depth", first_in_parts(num + r"d\b", rf"(?i)(?=.*projection).*?{N}"))
+    r.put("depth", first_in_parts(num + r"d\b", rf"(?i)^(?=.*projection).*?{N}"))
     shades = F.flatten(F.transform(F.filter(rest, lambda p: F.lower(p).contains("shade")), lambda p: grab_all(p, N)))
     r.put("shade", blank_to_null(F.array_join(F.array_distinct(shades), ",")))
 
