@@ -1,5 +1,6 @@
 """Session defaults and the shared folder used to cut lineage."""
 
+import re
 import tempfile
 import uuid
 
@@ -30,7 +31,8 @@ def build_session(app: str = "lathe", master: str | None = None, shuffle_partiti
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (tests, a laptop) is a local one set.
+    A local folder is made only in local mode, where there is no other
+    machine; a cluster without a named folder is an error.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -41,6 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="lathe-"))
     return sc.getCheckpointDir()
 
