@@ -61,7 +61,7 @@ def encode_record(row: dict) -> bytes:
     return "\r\n".join(["WARC/1.1", *lines]).encode() + BLOCK_END + block + BLOCK_END
 
 
-def member(data: bytes, level: int = 6) -> bytes:
+def member(data: bytes, level: int = 1) -> bytes:
     """A gzip member with its packed and unpacked lengths in the extra field."""
     z = zlib.compressobj(level, zlib.DEFLATED, -15)
     packed = z.compress(data) + z.flush()
