@@ -9,21 +9,24 @@ from ..session import stored
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the smallest node of its component.
 
-    Each round gives every node its smallest neighbour as parent, jumps twice
-    along parents, and contracts the links to those between different roots.
-    Minima combine before the shuffle, so a hub costs one row per task; the
-    contracted links and the roots are written to the shared folder, so
-    lineage stays short. Rounds end when no link is left.
+    Each round gives every node its smallest neighbour as parent, jumps along
+    parents until all point at roots (a path doubles with each jump), and
+    contracts the links to those between different roots, of which at most
+    half as many are left. Minima combine before the shuffle, so a hub costs
+    one row per task; each step is written to the shared folder, so lineage
+    stays short. Rounds end when no link is left.
     """
     edges = stored(links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct(), "links")
     roots = None
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         parent = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("parent")), "parents")
-        for _ in range(2):
+        moved = True
+        while moved:
             up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-            parent = parent.join(up, "parent").select("node", F.col("above").alias("parent"))
-        parent = stored(parent, "parents")
+            jumped = stored(parent.join(up, "parent", "left").select("node", "parent", F.coalesce("above", "parent").alias("above")), "parents")
+            moved = not jumped.where("parent <> above").isEmpty()
+            parent = jumped.select("node", F.col("above").alias("parent"))
         if roots is None:
             roots = parent.select("node", F.col("parent").alias("root"))
         else:

@@ -130,7 +130,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
 
     def run(batches):
         for b in batches:
-            texts = [t or "" for t in b.column("__text").to_pylist()]
+            texts = [t or "" for t in b.column(len(kept)).to_pylist()]
             for s, e in groups(texts):
                 x = bundles(texts[s:e])
                 empty = ~(x != 0).any(axis=1)

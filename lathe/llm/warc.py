@@ -144,7 +144,7 @@ class _Unzip(io.RawIOBase):
 
 def read_stream(raw, wanted, payload: bool) -> Iterator[dict | None]:
     """Records of plain WARC bytes; steps over payloads that are not wanted."""
-    f = io.BufferedReader(raw, 1 << 20) if isinstance(raw, io.RawIOBase) else raw
+    f = io.BufferedReader(raw, 1 << 20)
     while line := f.readline():
         if not line.startswith(b"WARC/"):
             continue
