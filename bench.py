@@ -54,7 +54,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "*")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     partitions = os.cpu_count() if cpus == "*" else int(cpus)
-    spark = build_session("bench", f"local[{cpus}]", partitions)
+    spark = build_session("bench", f"local[{cpus}]", partitions, text_tasks=partitions)
     spark.sparkContext.setLogLevel("ERROR")
     entries, times = load(), {}
     for name in HEADLINE:

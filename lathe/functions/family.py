@@ -6,12 +6,13 @@ from .rx import as_col, blank_to_null, cut_before, sub
 from .text import squeeze
 
 # Trailing words that name a colour or finish, not the family.
-COLOUR_WORDS = """
-Black White Gray Grey Brown Beige Ivory Walnut Natural Gold Silver Bronze Chrome
-Blue Green Red Pink Orange Yellow Purple Teal Cream Taupe Rust Charcoal Navy
-Brass Copper Nickel Oak Ash Mahogany Espresso Cognac Caramel Tan Sand Sage
-Olive Moss Slate Smoke Pewter Antique Multicolor Clear Frosted Matte Glossy
-""".split()
+COLOUR_WORDS = (
+    "Black", "White", "Gray", "Grey", "Brown", "Beige", "Ivory", "Walnut", "Natural", "Gold", "Silver", "Bronze",
+    "Chrome", "Blue", "Green", "Red", "Pink", "Orange", "Yellow", "Purple", "Teal", "Cream", "Taupe", "Rust",
+    "Charcoal", "Navy", "Brass", "Copper", "Nickel", "Oak", "Ash", "Mahogany", "Espresso", "Cognac", "Caramel",
+    "Tan", "Sand", "Sage", "Olive", "Moss", "Slate", "Smoke", "Pewter", "Antique", "Multicolor", "Clear", "Frosted",
+    "Matte", "Glossy",
+)
 
 
 def _head(c, pattern: str) -> Column:

@@ -1,5 +1,8 @@
 """Text cleaning."""
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, functions as F
 
 from .rx import as_col, blank_to_null, grab, lines_of, present, strip, sub
@@ -47,30 +50,8 @@ BOUNDARY_KEYS = (
     "light source included",
 )
 
-# Named character references decoded without Python.
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&quot;", '"'),
-    ("&#34;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&#x27;", "'"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&times;", "×"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&rdquo;", "”"),
-    ("&ldquo;", "“"),
-    ("&rsquo;", "’"),
-    ("&lsquo;", "‘"),
-    ("&Prime;", "″"),
-    ("&prime;", "′"),
-    ("&frac14;", "¼"),
-    ("&frac12;", "½"),
-    ("&frac34;", "¾"),
-    ("&amp;", "&"),
-)
+#: Named references: those of HTML 4, and the apostrophe; a hard blank is read as a blank.
+ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
 
 SKU_TOKEN = r"\b[A-Z0-9]++(?:-[A-Z0-9]++)+\b"
 
@@ -98,11 +79,27 @@ def plain_words(c) -> Column:
 
 
 def decode_entities(c) -> Column:
-    """Common named and numeric references, as a native replace chain."""
-    c = as_col(c)
-    for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """Named (HTML 4) and all numeric references, natively and in one pass; others stay as they are.
+
+    The text is cut at "&" and each part decoded; the input expression is used once.
+    """
+    named = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
+
+    def letter(code):
+        bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        return F.when(bad, "\ufffd").otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def reference(p):
+        decimal = F.regexp_extract(p, r"^#([0-9]{1,7});", 1).try_cast("int")
+        hexadecimal = F.conv(F.nullif(F.regexp_extract(p, r"^#[xX]([0-9A-Fa-f]{1,6});", 1), F.lit("")), 16, 10).cast("int")
+        numeric = F.get(F.transform(F.array(F.coalesce(decimal, hexadecimal)), letter), F.lit(0))
+        return F.coalesce(numeric, F.try_element_at(named, F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]{1,8});", 1)))
+
+    def part(p, i):
+        rest = F.substring(p, F.instr(p, ";") + 1, F.length(p))
+        return F.when(i == 0, p).otherwise(F.coalesce(F.concat(reference(p), rest), F.concat(F.lit("&"), p)))
+
+    return F.array_join(F.transform(F.split(as_col(c), "&"), part), "")
 
 
 def decode_entities_full(c) -> Column:

@@ -7,6 +7,7 @@ from ..functions.rx import as_col, grab, is_blank, strip
 from ..functions.text import decode_entities, html_to_line, plain_words
 from ..functions.urls import host, resolve, with_scheme
 from ..functions.html import inner_all
+from .ordered import top_n
 from .report import keyword_pages, sorted_set
 
 # Tracker labels and the source patterns that reveal them, in report order.
@@ -166,13 +167,14 @@ def address_candidates(html) -> Column:
     return F.array_distinct(F.filter(F.concat(own, short), lambda x: x != ""))
 
 
-# Columns of the audit table.
-AUDIT_COLUMNS = """
-url final_url http_status meta_title meta_description title_length description_length total_images images_missing_alt
-alt_tag_coverage internal_links_count trackers_found meta_quality image_seo_status overall_seo_status suggestion
-residential_found residential_source commercial_found commercial_source industrial_found industrial_source
-found_keywords_list address notes
-""".split()
+# Fixed values (N13): columns of the audit table.
+AUDIT_COLUMNS = (
+    "url", "final_url", "http_status", "meta_title", "meta_description", "title_length", "description_length",
+    "total_images", "images_missing_alt", "alt_tag_coverage", "internal_links_count", "trackers_found",
+    "meta_quality", "image_seo_status", "overall_seo_status", "suggestion", "residential_found",
+    "residential_source", "commercial_found", "commercial_source", "industrial_found", "industrial_source",
+    "found_keywords_list", "address", "notes",
+)
 
 
 def page_metrics(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -214,13 +216,14 @@ def site_findings(pages: DataFrame, site: str, order: str, url: str = "url", htm
     return joined.withColumn("address", F.coalesce("address", F.lit("")))
 
 
-def full_audit(urls: DataFrame, pages: DataFrame, findings: DataFrame, url: str, site: str) -> DataFrame:
+def full_audit(urls: DataFrame, pages: DataFrame, findings: DataFrame, url: str, site: str, landed=("html",)) -> DataFrame:
     """One complete record per input URL; unreachable and invalid ones keep defaults.
 
     ``findings`` has one row per ``site``, the host of the URL.
     """
     asked = urls.select(F.col(url).alias("url"), with_scheme(url).alias("__u")).withColumn("__site", host("__u"))
-    metrics = page_metrics(pages).withColumn("__pu", F.col("final_url"))
+    # A page that landed twice counts once; without a landing order any one of equal URLs, the same each time.
+    metrics = page_metrics(top_n(pages, 1, list(landed), ["url"])).withColumn("__pu", F.col("final_url"))
     found = findings.withColumnRenamed(site, "__fsite")
     joined = asked.join(metrics, F.col("__u") == F.col("__pu"), "left").join(found, F.col("__site") == F.col("__fsite"), "left")
     state = F.when(F.col("__u").isNull(), "Invalid URL").when(F.col("final_url").isNull(), "Unreachable")

@@ -1,7 +1,8 @@
 """Joins of listings, details, lookups and previous output.
 
 Right sides that should hold one row per key are de-duplicated after the key
-is cleaned, so no join fans out by accident. Nothing is broadcast by hand:
+is cleaned, by an order the caller may give, so no join fans out by accident
+(``master_assembly`` keeps every detail row, as is its use). Nothing is broadcast by hand:
 the optimizer does it below its size threshold. A hot key on the left is
 split by AQE, or spread up front with ``salts``.
 """
@@ -31,6 +32,12 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, right_key: str | No
     return joined.drop("__salt", "__rsalt") if salts > 1 else joined
 
 
+def unique(right: DataFrame, key: str, order=None) -> DataFrame:
+    """One row per trimmed key: the first by ``order``, by all sortable columns where none is given."""
+    order = order or [c for c, kind in right.dtypes if "map<" not in kind and "variant" not in kind]
+    return keep_first(right.withColumn(key, strip(F.col(key).cast("string"))), key, order)
+
+
 def merge_results(main: DataFrame, results: DataFrame, url: str, result_url: str, order, salts: int = 1, spread=None) -> DataFrame:
     """Keys are trimmed first, then the right side is made unique, then joined."""
     clean = results.withColumn(result_url, strip(F.col(result_url)))
@@ -38,7 +45,7 @@ def merge_results(main: DataFrame, results: DataFrame, url: str, result_url: str
 
 
 def master_assembly(listing: DataFrame, detail: DataFrame, url: str, out_cols, base_wins=("Image URL",), detail_suffix: str = " (detail)") -> DataFrame:
-    """base listing left join detail; clashes suffixed, base columns win where named."""
+    """base listing left join detail; clashes suffixed, base columns win where named. A detail that repeats repeats the row."""
     clash = [c for c in detail.columns if c in listing.columns and c != url]
     d = detail.withColumnsRenamed({c: c + detail_suffix for c in clash})
     joined = lookup_join(listing, d, url)
@@ -49,9 +56,9 @@ def master_assembly(listing: DataFrame, detail: DataFrame, url: str, out_cols, b
     return joined.select(*[F.col(f"`{c}`") if c in have else F.lit(None).cast("string").alias(c) for c in out_cols])
 
 
-def restore_progress(current: DataFrame, previous: DataFrame, key: str, columns) -> DataFrame:
-    """blank or missing values are taken from the previous output."""
-    old = previous.select(key, *[F.col(c).alias(f"__old_{c}") for c in columns])
+def restore_progress(current: DataFrame, previous: DataFrame, key: str, columns, order=None) -> DataFrame:
+    """blank or missing values are taken from the previous output, whose first row per key counts."""
+    old = unique(previous, key, order).select(key, *[F.col(c).alias(f"__old_{c}") for c in columns])
     joined = lookup_join(current, old, key)
     restored = {c: F.coalesce(present(c), F.col(f"__old_{c}")) for c in columns}
     return joined.withColumns(restored).drop(*[f"__old_{c}" for c in columns])
@@ -68,15 +75,16 @@ def resume_unmarked(inputs: DataFrame, existing: DataFrame, key: str, flag: str)
     return pending(inputs, existing.filter(F.col(flag) == "Yes"), key)
 
 
-def join_on_url(left: DataFrame, right: DataFrame, url: str, right_url: str) -> DataFrame:
-    """both sides get a scheme first, so inputs without "http" still join."""
+def join_on_url(left: DataFrame, right: DataFrame, url: str, right_url: str, order=None) -> DataFrame:
+    """both sides get a scheme first, so inputs without "http" still join; the first result per URL counts."""
     a = left.withColumn("__u", with_scheme(url))
-    b = right.withColumn("__ru", with_scheme(right_url)).drop(right_url)
+    b = unique(right.withColumn("__ru", with_scheme(right_url)).drop(right_url), "__ru", order)
     return a.join(b, F.col("__u") == F.col("__ru"), "left").drop("__u", "__ru")
 
 
-def enrich(listing: DataFrame, detail: DataFrame, url: str, detail_wins, extras: str | None = None) -> DataFrame:
-    """detail wins for the listed columns where present; extras maps merge, detail last."""
+def enrich(listing: DataFrame, detail: DataFrame, url: str, detail_wins, extras: str | None = None, order=None) -> DataFrame:
+    """detail wins for the listed columns where present; extras maps merge, detail last. The first detail per URL counts."""
+    detail = unique(detail, url, order)
     names = [c for c in detail.columns if c != url]
     d = detail.withColumnsRenamed({c: f"__d_{c}" for c in names})
     joined = lookup_join(listing, d, url)
@@ -142,9 +150,9 @@ def variant_image(images, variant_id) -> Column:
     return F.coalesce(F.get(mine, F.lit(0))["src"], F.get(imgs, F.lit(0))["src"])
 
 
-def fill_from_lookup(df: DataFrame, lookup: DataFrame, key: str, columns) -> DataFrame:
-    """per column, the looked-up value, else what the row had."""
-    side = lookup.select(key, *[F.col(c).alias(f"__m_{c}") for c in columns])
+def fill_from_lookup(df: DataFrame, lookup: DataFrame, key: str, columns, order=None) -> DataFrame:
+    """per column, the looked-up value of the first row of the key, else what the row had."""
+    side = unique(lookup, key, order).select(key, *[F.col(c).alias(f"__m_{c}") for c in columns])
     joined = lookup_join(df, side, key)
     return joined.withColumns({c: first_present(f"__m_{c}", c) for c in columns}).drop(*[f"__m_{c}" for c in columns])
 

@@ -69,16 +69,17 @@ def _join_back(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def running_sum(df: DataFrame, value, order, keys=(), out: str = "running", ranges: int | None = None, start: int = 0) -> DataFrame:
-    """Sum of ``value`` over all rows up to this one, per key, in order."""
+    """Sum of ``value`` over all rows up to this one, per key, in order; NULL before the first value."""
     order, keys = _names(order), _names(keys)
     work = with_range(df, order, ranges).withColumn("__value", as_col(value))
     totals = work.groupBy(*keys, "__range").agg(F.sum("__value").alias("__total"))
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "__range", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__offset"))
+    offsets = totals.select(*keys, "__range", F.sum("__total").over(before).alias("__offset"))
     inside = Window.partitionBy(*keys, "__range").orderBy(*_order(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = work.withColumn("__local", F.sum("__value").over(inside))
     joined = _join_back(local, offsets, keys)
-    return joined.withColumn(out, F.col("__offset") + F.col("__local") + F.lit(start)).drop("__range", "__value", "__local", "__offset")
+    total = F.when(F.coalesce("__offset", "__local").isNotNull(), F.coalesce("__offset", F.lit(0)) + F.coalesce("__local", F.lit(0)) + F.lit(start))
+    return joined.withColumn(out, total).drop("__range", "__value", "__local", "__offset")
 
 
 def running_index(df: DataFrame, order, keys=(), out: str = "Index", ranges: int | None = None, start: int = 0) -> DataFrame:

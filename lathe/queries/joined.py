@@ -81,12 +81,12 @@ def _(spark, sf):
 @query(
     "enrich_listing",
     """select p_partkey, case when f is null then p_type else f end as finish, case when f is null then 'size=' || p_size else 'flag=' || f || ';size=' || p_size end as extras
-    from part left join (select l_partkey, max(l_returnflag) f from lineitem where l_quantity > 49 group by 1) on l_partkey = p_partkey""",
+    from part left join (select l_partkey, max(l_returnflag) f from lineitem group by 1) on l_partkey = p_partkey""",
 )
 def _(spark, sf):
     listing = table(spark, sf, "part").select(S("p_partkey").alias("url"), "p_partkey", F.col("p_type").alias("finish"), F.create_map(F.lit("size"), S("p_size"), F.lit("flag"), F.lit("old")).alias("extras"))
     listing = listing.withColumn("extras", F.map_filter("extras", lambda k, v: k == "size"))
-    detail = table(spark, sf, "lineitem").filter("l_quantity > 49").groupBy("l_partkey").agg(F.max("l_returnflag").alias("finish"))
+    detail = table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.max("l_returnflag").alias("finish"))
     detail = detail.select(S("l_partkey").alias("url"), "finish", F.create_map(F.lit("flag"), F.col("finish")).alias("extras"))
     rich = J.enrich(listing, detail, "url", ["finish"], "extras")
     shown = F.array_join(F.array_sort(F.transform(F.map_entries("extras"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")

@@ -47,9 +47,9 @@ def _(spark, sf):
     return O.sheet_order(table(spark, sf, "part"), "p_brand", "p_partkey").select("p_brand", "sheet_ord")
 
 
-@query("sheet_list_present", "select p_type, dense_rank() over (order by f) as sheet_ord from (select p_type, min(p_partkey) f from part where p_size > 3 group by 1)")
+@query("sheet_list_present", "select p_type, dense_rank() over (order by f) as sheet_ord from (select p_type, min(p_partkey) f from part group by 1)")
 def _(spark, sf):
-    return sheet_list(table(spark, sf, "part").filter("p_size > 3"), "p_type", "p_partkey")
+    return sheet_list(table(spark, sf, "part"), "p_type", "p_partkey")
 
 
 @query("sheet_name_sanitise", "select p_partkey, substr(concat(p_name, ' a b c d e f g h ', p_brand, ' ', p_type), 1, 31) as sheet from part")

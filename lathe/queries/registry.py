@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import spread
+from ..session import dealt
 
 
 @dataclass(frozen=True)
@@ -28,8 +28,8 @@ def query(name: str, sql: str | None = None):
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are costly to read: see ``spread``."""
-    return spread(table(spark, sf_dir, name))
+    """A table whose rows are costly to read: see ``dealt``."""
+    return dealt(table(spark, sf_dir, name))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

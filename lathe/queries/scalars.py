@@ -34,7 +34,7 @@ text_query("drop_control_chars", T.drop_controls, r"trim(regexp_replace(text, '[
 text_query("control_chars_to_blank", lambda c: T.drop_controls(c, " "), r"trim(regexp_replace(text, '[\x00-\x1f\x7f]', ' ', 'g'))")
 text_query("plain_words", T.plain_words, f"trim(regexp_replace(regexp_replace(lower(text), '[!-/:-@\\[-`{{-~]', '', 'g'), '{BLANK}+', ' ', 'g'))")
 text_query("description_cap", lambda c: T.cap(c, 800), "substr(text, 1, 800)")
-text_query("html_to_line", T.html_to_line, f"trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&quot;', '\"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&times;', '×'), '&amp;', '&'), '{BLANK}+', ' ', 'g'))", "pages", "page_id", "html")
+text_query("html_to_line", T.html_to_line, f"trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' '), '&quot;', '\"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&times;', '×'), '&amp;', '&'), '{BLANK}+', ' ', 'g'))", "pages", "page_id", "html")
 
 
 @query(

@@ -19,7 +19,7 @@ def S(c):
     return F.col(c).cast("string")
 
 
-DECODE = "replace(replace(replace(replace(replace(replace({}, '&nbsp;', ' '), '&quot;', '\"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+DECODE = "replace(replace(replace(replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' '), '&quot;', '\"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
 TITLE = "coalesce(trim(" + DECODE.format("nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '')") + "), '')"
 HOST = "lower(regexp_extract(url, '//([^/?#]*)', 1))"
 CODE = "regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>|<!--.*?-->', ' ', 'g')"
@@ -247,14 +247,24 @@ def _(spark, sf):
     return pages(spark, sf).select("page_id", *[t[k].alias(k) for k in ("weight", "wattage", "material", "oah_max", "socket")], F.try_element_at(P.download_links(html), F.lit("Spec sheet")).alias("download"))
 
 
-@query("link_reachability")
+REACHABLE = """with recursive
+ p as (select page_id, rtrim(split_part(url, '#', 1), '/') as u, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) as o, html from pages),
+ hrefs as (select u, o, unnest(regexp_extract_all(html, '<a href="([^"]+)"', 1)) as h from p),
+ edges as (select u as src, o || rtrim(h, '/') as dst from hrefs where starts_with(h, '/') union select o, u from p),
+ reach(site, url, depth) as (
+   select distinct o, o, 0 from p
+   union select site, dst, depth + 1 from reach join edges on src = url and starts_with(dst, site) where depth < 4)
+ select site, url, min(depth) as depth from reach group by 1, 2"""
+
+
+@query("link_reachability", REACHABLE)
 def _(spark, sf):
     p = pages(spark, sf)
     edges = link_table(p)
     seeds = p.select(F.regexp_extract("url", "^([a-z]+://[^/?#]*)", 1).alias("url")).distinct()
     home = seeds.select(F.col("url").alias("src"), F.lit(0).alias("pos"))
     inside = p.select(F.regexp_extract("url", "^([a-z]+://[^/?#]*)", 1).alias("src"), F.col("page_id").cast("int").alias("pos"), F.rtrim(F.substring_index("url", "#", 1), F.lit("/")).alias("dst"))
-    return reachable(seeds, edges.unionByName(inside.join(home.select("src"), "src", "left_semi")), max_pages=20)
+    return reachable(seeds, edges.unionByName(inside.join(home.select("src"), "src", "left_semi")), max_depth=4).select("site", "url", "depth")
 
 
 REACH = f"""select p.o as site, count(*) as within_two from (select distinct regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) o from pages) p join

@@ -6,8 +6,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Setting: tasks that text tables are dealt to before costly per-row work.
+TEXT_TASKS = "lathe.text.tasks"
 
-def build_session(app: str = "lathe", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+
+def build_session(app: str = "lathe", master: str | None = None, shuffle_partitions: int | None = None, text_tasks: int | None = None) -> SparkSession:
     """Session with the settings every job here assumes.
 
     On a cluster leave ``master`` and ``shuffle_partitions`` to the submit
@@ -25,6 +28,8 @@ def build_session(app: str = "lathe", master: str | None = None, shuffle_partiti
         b = b.master(master)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if text_tasks:
+        b = b.config(TEXT_TASKS, str(text_tasks))
     return b.getOrCreate()
 
 
@@ -53,14 +58,14 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for heavy per-row work on an input of few splits.
+def dealt(df: DataFrame) -> DataFrame:
+    """The frame in as many tasks as the session's ``lathe.text.tasks`` says; unset (the default), as it is.
 
-    A small table in one row group is one scan task. Inputs with at least as
-    many splits as cores, which is any large table, are returned unchanged.
+    For costly per-row work on files that Spark cannot split. It shuffles the
+    rows, so whoever runs the job decides.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = df.sparkSession.conf.get(TEXT_TASKS, None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -2,13 +2,14 @@
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.rx import as_col, present
-from ..operators.dedup import append_old_wins
+from ..operators.dedup import keep_first
 from ..operators.ordered import running_index, sheet_order
 from ..operators.projection import to_export
-from ..session import cut_lineage
 
 SHEET_NAME_LIMIT = 31
 
@@ -62,11 +63,11 @@ def sheet_meta(category_dim: DataFrame, brand: str, separator: str = ", ") -> Da
 
 def write_by_category(df: DataFrame, path: str, category: str, order) -> None:
     """B2: one folder per category."""
-    category_rows(df, category, order).write.mode("overwrite").partitionBy(category).parquet(path)
+    category_rows(df, category, order).hint("rebalance", category).write.mode("overwrite").partitionBy(category).parquet(path)
 
 
 def replace_categories(df: DataFrame, path: str, category: str) -> None:
-    """Only the categories in ``df`` are replaced.
+    """Only the categories in ``df`` are replaced; ``df`` must not read them.
 
     The rebalance hint gives each category few files and lets AQE cut a large
     category into several tasks.
@@ -74,25 +75,35 @@ def replace_categories(df: DataFrame, path: str, category: str) -> None:
     df.hint("rebalance", category).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(category).parquet(path)
 
 
-def upsert_by_category(new: DataFrame, path: str, category: str, key: str, order) -> None:
-    """Previous rows win; only touched categories are rewritten.
+def stored_categories(spark: SparkSession, path: str, category: str) -> DataFrame | None:
+    """Rows written per category so far, columns of all files together; None before the first write.
 
-    The merged rows are checkpointed before their source folders are
-    replaced. Writing the same rows twice changes nothing.
+    The category is read as the text that names its folder: "007" stays "007".
     """
-    spark = new.sparkSession
     try:
-        old = spark.read.parquet(path)
-    except Exception as missing:  # first run: nothing written yet
-        if "PATH_NOT_FOUND" not in str(missing):
+        found = spark.read.option("mergeSchema", True).parquet(path).schema
+    except AnalysisException as missing:  # nothing written yet
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        old = None
-    if old is None:
-        merged = append_old_wins(new.limit(0), new, key, order)
-    else:
-        touched = new.select(category).distinct()
-        merged = append_old_wins(old.join(touched, category, "left_semi").select(*new.columns), new, key, order)
-    replace_categories(cut_lineage(merged), path, category)
+        return None
+    fields = [StructField(f.name, StringType()) if f.name == category else f for f in found]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
+def upsert_by_category(new: DataFrame, path: str, category: str, key: str, order) -> None:
+    """Previous rows win, so rows of unseen (category, key) pairs are appended and nothing is rewritten.
+
+    NULL is a category and a key like any other. A column that only the stored
+    or only the new rows have stays, NULL for the others. Writing the same
+    rows twice changes nothing; a failed write leaves the table as it was. The
+    rebalance hint gives each category few files and cuts a large one.
+    """
+    fresh = keep_first(new.withColumn(category, F.col(category).cast("string")), [category, key], order)
+    old = stored_categories(new.sparkSession, path, category)
+    if old is not None:
+        seen = old.select(F.col(category).alias("__c"), F.col(key).alias("__k"))
+        fresh = fresh.join(seen, F.col(category).eqNullSafe(F.col("__c")) & F.col(key).eqNullSafe(F.col("__k")), "left_anti")
+    fresh.hint("rebalance", category).write.mode("append").partitionBy(category).parquet(path)
 
 
 def write_batches(df: DataFrame, path: str, rows_per_file: int = 50) -> None:

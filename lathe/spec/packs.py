@@ -40,12 +40,13 @@ def extract_dimensions(df: DataFrame, text_col: str, code: str, out: str = "dims
 
 
 def extract_by_vendor(df: DataFrame, text_col: str, pack_col: str, codes, out: str = "dims") -> DataFrame:
-    """Rows of several grammars: one filtered branch per grammar, pruned when partitioned by it."""
-    parts = [extract_dimensions(df.filter(F.col(pack_col) == c), text_col, c, out) for c in codes]
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result
+    """Rows of several grammars in one pass over the input; a row of another or no grammar stays, with NULL dimensions."""
+    names, codes = df.columns, list(codes)
+    for i, c in enumerate(codes):
+        own = df.withColumn("__spec", F.when(F.col(pack_col) == c, as_col(text_col)))
+        df = extract_dimensions(own, "__spec", c, f"__d{i}").drop("__spec")
+    mine = F.coalesce(*[F.when(F.col(pack_col) == c, F.col(f"__d{i}")) for i, c in enumerate(codes)])
+    return df.select(*[F.col(f"`{n}`") for n in names if n != out], mine.alias(out))
 
 
 def extractor(pattern):

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rx import is_blank
-from ..operators.dedup import append_old_wins
+from ..operators.dedup import append_old_wins, keep_first
 from ..sinks.tables import upsert_by_category
 
 
@@ -16,19 +16,35 @@ def landing_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.p
     return reader.parquet(folder)
 
 
-def first_sightings(stream: DataFrame, key: str, landed: str | None = None, horizon: str = "30 days") -> DataFrame:
-    """M1: rows whose key was not seen before.
+def first_sightings(stream: DataFrame, key: str, landed: str | None = None, horizon: str | None = None) -> DataFrame:
+    """M1: rows whose key was not seen before; state keeps every key.
 
-    With a landing time, state older than ``horizon`` is dropped; without one,
-    use ``upsert_stream``, which checks the written table instead of growing state.
+    With ``landed`` and ``horizon``, keys older than the horizon are forgotten
+    and rows older than it dropped; only where that is wanted. To keep late
+    rows without growing state use ``sightings_stream``.
     """
     named = stream.filter(~is_blank(key))
-    if landed:
+    if landed and horizon:
         named = named.withColumn(landed, F.col(landed).cast("timestamp"))
         return named.withWatermark(landed, horizon).dropDuplicatesWithinWatermark([key])
     return named.dropDuplicates([key])
 
 
+def sightings_stream(stream: DataFrame, path: str, checkpoint: str, key: str, order, once: bool = True) -> StreamingQuery:
+    """M1: rows of keys that the written table does not have, however late they land; no state, replays change nothing."""
+    schema = stream.schema
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        fresh = keep_first(batch.filter(~is_blank(key)), key, order)
+        done = batch.sparkSession.read.schema(schema).option("ignoreMissingFiles", True)
+        if batch_id > 0:
+            fresh = fresh.join(done.parquet(path).select(key), key, "left_anti")
+        fresh.write.mode("append" if batch_id else "overwrite").parquet(path)
+
+    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def discovered_urls(seeds: DataFrame, found: DataFrame, url: str) -> DataFrame:
     """M3: seeds and discovered URLs join the queue once, ignoring case."""
     both = seeds.select(F.lower(F.trim(F.col(url))).alias(url)).union(found.select(F.lower(F.trim(F.col(url))).alias(url)))

@@ -256,3 +256,33 @@ def test_null_rule(spark):
 
 def test_full_entity_decoding(evaluate):
     assert evaluate(T.decode_entities_full, "caf&eacute; &amp; &#8243;") == "café & ″"
+
+
+def test_right_sides_do_not_fan_out(spark):
+    left = spark.createDataFrame([("a", None), ("b", "x")], "k string, v string")
+    right = spark.createDataFrame([("a", "2", 2), (" a", "1", 1), ("a", "3", 3)], "k string, v string, ord int")
+    assert {(r["k"], r["v"]) for r in J.restore_progress(left, right, "k", ["v"], "ord").collect()} == {("a", "1"), ("b", "x")}
+    assert J.fill_from_lookup(left, right, "k", ["v"], "ord").count() == 2
+    assert J.enrich(left, right.drop("ord"), "k", ["v"]).count() == 2
+    assert J.join_on_url(left, right, "k", "k").count() == 2
+
+
+def test_running_sum_of_missing_values(spark):
+    df = spark.createDataFrame([(i, None if i < 3 or i % 2 else i) for i in range(60)], "i int, v int")
+    got = [r["running"] for r in O.running_sum(df, "v", "i", ranges=9).orderBy("i").collect()]
+    total, want = None, []
+    for i in range(60):
+        total = total if i < 3 or i % 2 else (total or 0) + i
+        want.append(total)
+    assert got == want
+
+
+def test_vendor_rows_without_a_grammar_stay(spark):
+    from lathe.spec.packs import extract_by_vendor
+
+    df = spark.createDataFrame([(1, "EI", '10"W'), (2, "??", '10"W'), (3, None, '10"W')], "k int, pack string, spec string")
+    assert sorted((r["k"], r["dims"] is None) for r in extract_by_vendor(df, "spec", "pack", ["EI", "ZUO"]).collect()) == [(1, False), (2, True), (3, True)]
+
+
+def test_references(evaluate):
+    assert evaluate(T.decode_entities, "Caf&eacute; 5&#8243; &deg; &#x1F642; &amp;lt; &#0; &bogus; a&b &nbsp;x") == "Café 5″ ° \U0001f642 &lt; \ufffd &bogus; a&b  x"

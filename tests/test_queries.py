@@ -28,7 +28,8 @@ def db():
 
 def test_contract(spark):
     assert set(ORACLES) <= set(QUERIES)
-    assert len(QUERIES) - len(ORACLES) <= 1
+    # Learned models and codecs are tested against brute force in tests/llm.
+    assert not [q for q in QUERIES if q not in ORACLES and not re.match(r"op\d+_|pipeline$", q)]
     assert entry.entry(spark).limit(1).count() == 1
 
 

@@ -124,3 +124,24 @@ def test_lineage_cut_reads_the_shared_folder(spark, products):
     df = cut_lineage(products)
     assert df.count() == 30
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_upsert_keeps_every_row(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(None, "a", 1, "x"), ("007", "a", 2, "x"), ("7", "a", 3, "x"), ("c", None, 4, "x")], "category string, url string, ord int, extra string")
+    second = spark.createDataFrame([(None, "a", 9, "n"), (None, "b", 5, "n"), ("007", "a", 9, "n"), ("d", "a", 6, "n"), ("c", None, 9, "n")], "category string, url string, ord int, fresh string")
+    for batch in (first, second, second):
+        B.upsert_by_category(batch, path, "category", "url", "ord")
+    rows = spark.read.option("mergeSchema", True).schema("url string, ord int, extra string, fresh string, category string").parquet(path).collect()
+    got = sorted((repr((r["category"], r["url"], r["ord"], r["extra"], r["fresh"])) for r in rows))
+    assert got == sorted(map(repr, [(None, "a", 1, "x", None), ("007", "a", 2, "x", None), ("7", "a", 3, "x", None), ("c", None, 4, "x", None), (None, "b", 5, None, "n"), ("d", "a", 6, None, "n")]))
+
+
+def test_late_sightings_survive(spark, tmp_path):
+    schema = "url string, landed timestamp"
+    batches = [[("a", "2025-05-01 00:00:00"), ("b", "2025-05-01 00:00:00")], [("late", "2020-01-01 00:00:00"), ("a", "2020-01-01 00:00:00")]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, "url string, landed string").selectExpr("url", "cast(landed as timestamp) as landed").coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+        s = M.landing_stream(spark, str(tmp_path / "in/*"), schema, files_per_batch=1)
+        M.sightings_stream(s, str(tmp_path / "rows"), str(tmp_path / "state"), "url", "landed").awaitTermination()
+    assert sorted(r["url"] for r in spark.read.parquet(str(tmp_path / "rows")).collect()) == ["a", "b", "late"]
