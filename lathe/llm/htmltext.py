@@ -16,6 +16,7 @@ pages give equal texts; other columns are not read.
 
 import html as entities
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -45,41 +46,67 @@ THRESHOLD, SPREAD = 0.15, 1.0
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
-    """(tag path, beside the content, text) of each block in page order."""
-    out: list[tuple[tuple[str, ...], bool, str]] = []
-    path: list[str] = []
-    beside: list[bool] = []
+class Paths:
+    """Tag paths of a page as a tree: a path is a number, 0 the empty one. A
+    path is met after the one above it, so its number is the larger, and a
+    page costs its size however deeply it is nested."""
+
+    def __init__(self):
+        self.above, self.tag, self.depth = [0], [""], [0]
+        self.known: dict[tuple[int, str], int] = {}
+
+    def below(self, path: int, tag: str, label: str) -> int:
+        new = self.known.setdefault((path, f"{tag}.{label}"), len(self.tag))
+        if new == len(self.tag):
+            self.above.append(path)
+            self.tag.append(tag)
+            self.depth.append(self.depth[path] + 1)
+        return new
+
+
+def blocks(page: str) -> tuple[Paths, list[tuple[int, bool, str]]]:
+    """The tag paths, and (path, beside the content, text) of each block in page order."""
+    paths, out = Paths(), []
+    #: Open elements: tag, path of block elements, beside the content.
+    opened: list[tuple[str, int, bool]] = []
+    count: Counter = Counter()
     parts: list[str] = []
-    at, n = 0, len(page)
+    # Past the last ">" no tag ends, so none is sought there.
+    at, n, stop = 0, len(page), page.rfind(">") + 1
 
     def flush():
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            out.append((tuple(path), bool(beside) and beside[-1], text))
+            _, path, beside = opened[-1] if opened else ("", 0, False)
+            out.append((path, beside, text))
 
     def close(to: int):
-        del path[to:], beside[to:]
+        while len(opened) > to:
+            count[opened.pop()[0]] -= 1
 
     while at < n:
-        m = TAG.search(page, at)
+        m = TAG.search(page, at, stop)
         if m is None:
-            parts.append(page[at:])
+            parts.append(page[at:].partition("<!--")[0])
             break
         parts.append(page[at : m.start()])
         at = m.end()
         name = (m["name"] or "").lower()
         if not name:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break
             continue
         if m["end"]:
-            for k in range(len(path) - 1, -1, -1):
-                if path[k].partition(".")[0] == name:
+            if not count[name]:
+                continue
+            for k in range(len(opened) - 1, -1, -1):
+                if opened[k][0] == name:
                     if name in BLOCK:
                         flush()
                     close(k)
                     break
-                if name not in BLOCK and path[k].partition(".")[0] in BLOCK:
+                if name not in BLOCK and opened[k][0] in BLOCK:
                     break
             continue
         if name in RAW:
@@ -91,54 +118,55 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
             continue
         if name in BLOCK:
             flush()
-            while path and path[-1].partition(".")[0] not in BLOCK:
-                close(len(path) - 1)
-            if path and path[-1].partition(".")[0] in (CLOSES.get(name) or ({"p"} if path[-1] == "p" else set())):
-                close(len(path) - 1)
+            while opened and opened[-1][0] not in BLOCK:
+                close(len(opened) - 1)
+            if opened and opened[-1][0] in CLOSES.get(name, {"p"}):
+                close(len(opened) - 1)
         if name in VOID or m["attrs"].endswith("/") and name not in BLOCK:
             continue
         label = " ".join(x for g in ATTR.findall(m["attrs"]) for x in g if x)
-        off = name in BESIDE and not (name == "header" and any(p.partition(".")[0] in CONTENT for p in path))
+        off = name in BESIDE and not (name == "header" and any(count[c] for c in CONTENT))
         off = off or bool(label and name not in CONTENT and name not in ("html", "body") and BESIDE_NAME.search(label))
-        path.append(f"{name}.{label}" if label else name)
-        beside.append(off or bool(beside) and beside[-1])
+        _, path, beside = opened[-1] if opened else ("", 0, False)
+        opened.append((name, paths.below(path, name, label) if name in BLOCK else path, off or beside))
+        count[name] += 1
     flush()
-    return out
+    return paths, out
 
 
 def main_text(page: str) -> str:
     """Text of the article of a page, blocks joined by line breaks."""
-    found = [b for b in blocks(page) if not b[1]]
+    paths, found = blocks(page)
+    found = [(p, t) for p, beside, t in found if not beside]
     if not found:
         return ""
-    stats: dict[tuple[str, ...], list[int]] = {}
-    plain = [tuple(x for x in p if x.partition(".")[0] in BLOCK) for p, _, _ in found]
-    for p, (_, _, t) in zip(plain, found):
-        s = stats.setdefault(p, [0, 0, 0])
-        s[0] += len(t)
-        s[1] += sum(map(t.count, PUNCTUATION))
-        s[2] += 1
-    length = np.array([stats[p][0] / stats[p][2] for p in plain])
-    marks = np.array([stats[p][1] / stats[p][2] for p in plain])
+    at = np.array([p for p, _ in found])
+    size = np.array([len(t) for _, t in found], float)
+    marks = np.array([sum(map(t.count, PUNCTUATION)) for _, t in found], float)
+    many = len(paths.tag)
+    number = np.bincount(at, minlength=many).clip(1)
+    ratios = [(np.bincount(at, x, many) / number)[at] for x in (size, marks)]
     kernel = np.exp(-0.5 * (np.arange(-3, 4) / SPREAD) ** 2)
     kernel /= kernel.sum()
-    fused = np.convolve(np.pad(length, 3, "edge"), kernel, "valid") * (1 + np.convolve(np.pad(marks, 3, "edge"), kernel, "valid"))
-    chosen = np.flatnonzero(fused >= THRESHOLD * fused.max())
-    weight: dict[tuple[str, ...], float] = {}
-    for i in chosen:
-        for k in range(len(plain[i]) + 1):
-            weight[plain[i][:k]] = weight.get(plain[i][:k], 0.0) + len(found[i][2])
-    top = max(weight.values())
+    length, marks = (np.convolve(np.pad(x, 3, "edge"), kernel, "valid") for x in ratios)
+    fused = length * (1 + marks)
+    chosen = fused >= THRESHOLD * fused.max()
+    weight = np.bincount(at[chosen], size[chosen], many)
+    for p in range(many - 1, 0, -1):
+        weight[paths.above[p]] += weight[p]
     # The deepest container that holds nearly all chosen text, and not only one block of it.
-    root = max((p for p, w in weight.items() if w >= 0.9 * top), key=lambda p: (len(p), weight[p]))
-    leaf = root[-1].partition(".")[0] if root else ""
-    if leaf in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "td", "dd"):
-        root = root[:-1]
-    for k, tag in enumerate(root):
-        if tag.partition(".")[0] in CONTENT:
-            root = root[: k + 1]
-            break
-    return "\n".join(t for p, (_, _, t) in zip(plain, found) if p[: len(root)] == root)
+    root = max((int(p) for p in np.flatnonzero(weight >= 0.9 * weight[0])), key=lambda p: paths.depth[p])
+    if paths.tag[root] in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "td", "dd"):
+        root = paths.above[root]
+    p = root
+    while p:
+        if paths.tag[p] in CONTENT:
+            root = p
+        p = paths.above[p]
+    inside = [False] * many
+    for p in range(many):
+        inside[p] = p == root or p > 0 and inside[paths.above[p]]
+    return "\n".join(t for p, t in found if inside[p])
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
