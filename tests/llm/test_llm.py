@@ -359,6 +359,8 @@ def test_main_text(spark):
     assert htmltext.main_text(page.replace("<article>", "<div class=post>").replace("</article>", "</div>")) == want
     assert [htmltext.main_text(x) for x in ("", "<p>x", "a &amp b", "<nav>x</nav>", "< 3 and <b", "<script>x")] == ["", "x", "a & b", "", "< 3 and <b", ""]
     assert htmltext.main_text("<div>" * 3000 + "<p>deep, text.") == "deep, text."
+    assert htmltext.main_text("<p class=a>One, two.<div>Three, four.</div>") == "One, two.\nThree, four."
+    assert htmltext.main_text("<p>a, b</p><!-- <p>no</p>") == "a, b"
     rows = [(1, "u", page), (2, None, None), (2, None, ""), (None, "u", "<p>" + LONG)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
     got = sorted(map(repr, map(tuple, htmltext.extract_main_text(df).collect())))
@@ -367,6 +369,14 @@ def test_main_text(spark):
     assert htmltext.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_main_text_costs_the_size_of_a_page():
+    """Tens of thousands of open elements, end tags without a start, and tags that never end."""
+    nested = htmltext.main_text("<article>" + "".join(f"<div>t{i}, x " for i in range(40_000)))
+    assert nested.split("\n") == [f"t{i}, x" for i in range(40_000)]
+    assert htmltext.main_text("<div>" * 40_000 + "hi" + "</section>" * 40_000) == "hi"
+    assert htmltext.main_text("<a " * 200_000) == ("<a " * 200_000).strip()
+
+
 def test_main_text_of_driver_pages(spark):
     import html
 
@@ -446,6 +456,18 @@ def test_pipeline(spark):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_stages_keep_documents_without_an_id(spark):
+    import corpus_pipeline as cp
+
+    texts = ["The small river ran past the old mill.", "Another story about ships and harbours.", "the small river ran past the old mill."]
+    rows = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (6, texts[1] + " It ends here, far away."), (6, texts[0])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", "text", *[F.lit(None).cast("string").alias(c) for c in ("lang", "source")], F.lit(1).alias("n_chars"), F.lit(0).alias("mark"))
+    got = {(r["doc_id"], r["text"]) for r in cp.drop_equal_texts(spark, df, SF).collect()}
+    assert got == {rows[1], rows[3], rows[4]}
+    near = df.where("doc_id is null or doc_id = 5")
+    assert {(r["doc_id"], r["text"]) for r in cp.drop_near_duplicates(spark, near, SF).collect()} == {rows[1], rows[2]}
+
+
 def test_queries_have_the_contract_columns(spark):
     want = {
         "op1_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
