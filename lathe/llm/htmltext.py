@@ -3,10 +3,11 @@
 A page is cut into blocks of text, each with its root-to-leaf tag path. Per
 path, text length and punctuation per block are added up; paths inside
 containers that name themselves navigation, advert, form and the like weigh
-nothing. The ratios are smoothed over the page (a block borrows from those
-beside it), fused, and thresholded; the container whose paths hold most of
-the selected weight is the article, and all its blocks are kept, short ones
-and headings too.
+nothing, unless they hold nearly all text. The ratios are smoothed over the
+page (a block borrows from those beside it), fused, and thresholded; an
+<article> or <main> that holds nearly all of the selected weight, else the
+container of all selected paths, is the article, and all its blocks are kept,
+short ones and headings too.
 
 Defined cases: a null or empty page, and one without content, give an empty
 text; broken markup never fails (open tags end with their parent, a cut-off
@@ -26,19 +27,25 @@ from pyspark.sql import functions as F
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S)
 ATTR = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Content of these is no markup and no text.
-RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "object", "svg", "canvas", "select", "title")
+RAW = ("script", "style", "textarea", "title")
+#: Content of these is markup whose text is not shown; one without an end tag ends with its parent.
+HIDDEN = frozenset({"noscript", "template", "iframe", "object", "svg", "canvas", "select"})
 #: Elements without an end, elements that begin a block, elements beside the content.
 VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"})
 BLOCK = frozenset(
     {"address", "article", "aside", "blockquote", "body", "button", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "frameset", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "label", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 )
 BESIDE = frozenset({"nav", "header", "footer", "aside", "form", "button", "dialog", "menu", "head", "fieldset", "label"})
-#: Words of class, id or role names that mark what is beside the content, or is content.
+#: Whole class, id or role names that mark what is beside the content; a part of a longer name (``has-sidebar``) says nothing.
 BESIDE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner\w*|breadcrumbs?|bylinks?|comments?|commentlist|consent|cookies?|copyright|disclaimer|disqus|dialog|footer|form|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|pagination|pager|popup|promos?|promoted|recommended|related|replies|respond|search|share|sharing|sidebar|side|signup|skip|social|sponsor\w*|subscribe|tags|toolbar|topbar|widgets?|complementary|contentinfo)(?=$|[\s_-])",
+    r"(?:^|\s)(?:(?:site|page|main|top|left|right|primary|secondary|post|article|global|social|cookie|user|email)[_-]+)?(?:ads?|advert\w*|banner\w*|breadcrumbs?|bylinks?|comments?|commentlist|consent|cookies?|copyright|disclaimer|disqus|dialog|footer|form|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|pagination|pager|popup|promos?|promoted|recommended|related|replies|respond|search|share|sharing|sidebar|side|signup|skip|social|sponsor\w*|subscribe|tags|toolbar|topbar|widgets?|complementary|contentinfo)(?:[_-]+(?:\d+|area|bar|block|box|container|content|inner|links?|list|menu|nav|section|widget|wrap|wrapper))*(?=$|\s)",
     re.I,
 )
 CONTENT = frozenset({"article", "main"})
+#: How a block is beside the content: not, by the name of a container, by its element.
+INSIDE, NAMED, OUTSIDE = 0, 1, 2
+#: Named containers are content where all else is less than this share of the text.
+LEFT_SHARE = 0.1
 PUNCTUATION = frozenset(".,;:!?。、，；：！？…")
 #: Share of the largest fused ratio from which a path is content, and blocks smoothed over.
 THRESHOLD, SPREAD = 0.15, 1.0
@@ -64,11 +71,11 @@ class Paths:
         return new
 
 
-def blocks(page: str) -> tuple[Paths, list[tuple[int, bool, str]]]:
-    """The tag paths, and (path, beside the content, text) of each block in page order."""
+def blocks(page: str) -> tuple[Paths, list[tuple[int, int, str]]]:
+    """The tag paths, and (path, how it is beside the content, text) of each block in page order."""
     paths, out = Paths(), []
-    #: Open elements: tag, path of block elements, beside the content.
-    opened: list[tuple[str, int, bool]] = []
+    #: Open elements: tag, path of block elements, beside the content, text not shown.
+    opened: list[tuple[str, int, int, bool]] = []
     count: Counter = Counter()
     parts: list[str] = []
     # Past the last ">" no tag ends, so none is sought there.
@@ -78,7 +85,7 @@ def blocks(page: str) -> tuple[Paths, list[tuple[int, bool, str]]]:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, path, beside = opened[-1] if opened else ("", 0, False)
+            _, path, beside, _ = opened[-1] if opened else ("", 0, INSIDE, False)
             out.append((path, beside, text))
 
     def close(to: int):
@@ -87,10 +94,11 @@ def blocks(page: str) -> tuple[Paths, list[tuple[int, bool, str]]]:
 
     while at < n:
         m = TAG.search(page, at, stop)
+        hidden = bool(opened) and opened[-1][3]
         if m is None:
-            parts.append(page[at:].partition("<!--")[0])
+            parts.append("" if hidden else page[at:].partition("<!--")[0])
             break
-        parts.append(page[at : m.start()])
+        parts.append("" if hidden else page[at : m.start()])
         at = m.end()
         name = (m["name"] or "").lower()
         if not name:
@@ -102,17 +110,25 @@ def blocks(page: str) -> tuple[Paths, list[tuple[int, bool, str]]]:
                 continue
             for k in range(len(opened) - 1, -1, -1):
                 if opened[k][0] == name:
-                    if name in BLOCK:
+                    if name in BLOCK and not opened[k][3]:
+                        # Text stands before what is hidden, so it is not of the hidden element's blocks.
+                        while opened[-1][3]:
+                            close(len(opened) - 1)
                         flush()
                     close(k)
                     break
-                if name not in BLOCK and opened[k][0] in BLOCK:
+                if name not in BLOCK and name not in HIDDEN and opened[k][0] in BLOCK:
                     break
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
+        if hidden:
+            if name not in VOID and not m["attrs"].endswith("/"):
+                opened.append((name, opened[-1][1], opened[-1][2], True))
+                count[name] += 1
+            continue
         if name == "br":
             parts.append(" ")
             continue
@@ -126,9 +142,12 @@ def blocks(page: str) -> tuple[Paths, list[tuple[int, bool, str]]]:
             continue
         label = " ".join(x for g in ATTR.findall(m["attrs"]) for x in g if x)
         off = name in BESIDE and not (name == "header" and any(count[c] for c in CONTENT))
-        off = off or bool(label and name not in CONTENT and name not in ("html", "body") and BESIDE_NAME.search(label))
-        _, path, beside = opened[-1] if opened else ("", 0, False)
-        opened.append((name, paths.below(path, name, label) if name in BLOCK else path, off or beside))
+        named = bool(label and name not in ("html", "body") and BESIDE_NAME.search(label))
+        _, path, beside, _ = opened[-1] if opened else ("", 0, INSIDE, False)
+        if name in CONTENT and beside == NAMED and (name == "main" or not named):
+            beside = INSIDE
+        beside = max(beside, OUTSIDE if off else NAMED if named and name not in CONTENT else INSIDE)
+        opened.append((name, paths.below(path, name, label) if name in BLOCK else path, beside, name in HIDDEN))
         count[name] += 1
     flush()
     return paths, out
@@ -137,7 +156,9 @@ def blocks(page: str) -> tuple[Paths, list[tuple[int, bool, str]]]:
 def main_text(page: str) -> str:
     """Text of the article of a page, blocks joined by line breaks."""
     paths, found = blocks(page)
-    found = [(p, t) for p, beside, t in found if not beside]
+    length = [sum(len(t) for _, beside, t in found if beside == how) for how in (INSIDE, NAMED)]
+    most = INSIDE if length[0] >= LEFT_SHARE * sum(length) else NAMED
+    found = [(p, t) for p, beside, t in found if beside <= most]
     if not found:
         return ""
     at = np.array([p for p, _ in found])
@@ -154,11 +175,13 @@ def main_text(page: str) -> str:
     weight = np.bincount(at[chosen], size[chosen], many)
     for p in range(many - 1, 0, -1):
         weight[paths.above[p]] += weight[p]
-    # The deepest container that holds nearly all chosen text, and not only one block of it.
-    root = max((int(p) for p in np.flatnonzero(weight >= 0.9 * weight[0])), key=lambda p: paths.depth[p])
-    if paths.tag[root] in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "td", "dd"):
-        root = paths.above[root]
-    p = root
+    def deepest(share: float) -> int:
+        """The deepest container that holds this share of the chosen text, and not only one block of it."""
+        root = max((int(p) for p in np.flatnonzero(weight >= share * weight[0])), key=lambda p: paths.depth[p])
+        return paths.above[root] if paths.tag[root] in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "td", "dd") else root
+
+    # An article or main element that holds nearly all of it, else whatever holds all of it.
+    root, p = deepest(1), deepest(0.9)
     while p:
         if paths.tag[p] in CONTENT:
             root = p
