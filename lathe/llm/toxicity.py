@@ -1,17 +1,18 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from labelled text: an ordinary one,
-trained on windows of ordinary texts, and a toxic one, the same content
-followed by the words that mark toxic texts, those met in many different
-contexts there and (almost) never in ordinary ones; contexts are counted
-rather than uses, so copies of one text prove nothing. A window that the toxic
-dictionary compresses to fewer bytes speaks for toxicity. The largest savings,
-their frequency and the number of windows are calibrated on labelled texts
+Two zstandard dictionaries are trained on windows of labelled text, one of
+ordinary and one of toxic rows. A window that the toxic dictionary compresses
+to fewer bytes speaks for toxicity. A third one is an addition: the ordinary
+content followed by the words that mark toxic texts, those met in many
+different contexts there and (almost) never in ordinary ones; contexts are
+counted rather than uses, so copies of one text prove nothing. The largest
+savings of both against the ordinary dictionary, their frequency and the
+number of windows are calibrated on labelled texts
 that the dictionaries have not seen, so that score 0.7 is the threshold of the
 best F1 there among those that at most 1 % of ordinary texts reach.
 
 Training reads bounded samples of labelled rows, drawn by hash: ``TOXIC_ROWS``
-and ``ORDINARY_ROWS``. Scoring reads every window of every text.
+and ``ORDINARY_ROWS``, of them ``TOXIC_WINDOWS`` and ``ORDINARY_WINDOWS``. Scoring reads every window of every text.
 
 Defined cases: a null or empty text counts as one window without savings;
 without rows of both labels every score is 0; of repeated labels of an id a
@@ -33,7 +34,7 @@ from .langid import fold
 
 WORDS = 12
 DICT_BYTES, LEVEL = 1 << 16, 6
-TOXIC_ROWS, ORDINARY_ROWS, ORDINARY_WINDOWS, MARK_WORDS = 4000, 8000, 50_000, 2000
+TOXIC_ROWS, ORDINARY_ROWS, TOXIC_WINDOWS, ORDINARY_WINDOWS, MARK_WORDS = 4000, 8000, 50_000, 50_000, 2000
 #: A mark word has so many contexts in toxic texts, as a share of them, and is so many times as frequent there.
 LEAST_CONTEXTS, LEAST_SHARE, LEAST_RATIO = 3, 0.004, 60.0
 THRESHOLD = 0.7
@@ -59,12 +60,14 @@ def packer(content: bytes):
     return lambda window: len(c.compress(window))
 
 
-def features(texts: list[str], ordinary, toxic) -> np.ndarray:
-    out = np.zeros((len(texts), 7))
+def features(texts: list[str], ordinary, toxic, marked) -> np.ndarray:
+    out = np.zeros((len(texts), 14))
     for i, t in enumerate(texts):
-        d = np.sort(np.array([ordinary(w) - toxic(w) for w in windows(t)] or [0]))[::-1]
-        top = np.r_[d[:4], np.zeros(4)][:4]
-        out[i] = [*top, np.log1p(len(d)), 10 * (d >= 3).mean(), d.clip(0).mean()]
+        saved = np.array([(n - toxic(w), n - marked(w)) for w in windows(t) for n in [ordinary(w)]] or [(0, 0)])
+        for k, d in enumerate(np.sort(saved, axis=0)[::-1].T):
+            top = np.r_[d[:4], np.zeros(4)][:4]
+            # The trained pair's bytes differ both ways, so its mean keeps the sign.
+            out[i, 7 * k : 7 * k + 7] = [*top, 10 * (d >= 3).mean(), d.clip(0).mean(), np.log1p(len(d)) if k else d.mean()]
     return out
 
 
@@ -79,8 +82,8 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 class Model:
-    def __init__(self, ordinary: bytes, toxic: bytes, mean, scale, weights):
-        self.ordinary, self.toxic = ordinary, toxic
+    def __init__(self, ordinary: bytes, toxic: bytes, marked: bytes, mean, scale, weights):
+        self.ordinary, self.toxic, self.marked = ordinary, toxic, marked
         self.mean, self.scale, self.weights = mean, scale, weights
 
     def scores(self, texts: list[str], packers) -> np.ndarray:
@@ -138,16 +141,20 @@ def fit(rows: DataFrame) -> Model | None:
     ratio = F.col("contexts") / n[1] / ((F.col("uses") + 0.5) / n[0])
     marks = met.where((F.col("contexts") >= max(LEAST_CONTEXTS, LEAST_SHARE * n[1])) & (ratio >= LEAST_RATIO))
     marks = [r["word"] for r in marks.orderBy(ratio.desc(), "word").limit(MARK_WORDS).collect()]
-    pieces = seen.where("toxic = 0").select("text").mapInArrow(cut, "window binary")
-    pieces = [bytes(r["window"]) for r in pieces.orderBy(F.xxhash64("window")).limit(ORDINARY_WINDOWS).collect()]
-    try:
-        ordinary = zstandard.train_dictionary(DICT_BYTES, pieces).as_bytes()
-    except zstandard.ZstdError:  # too few samples: they are the dictionary
-        ordinary = b"".join(pieces)[:DICT_BYTES]
-    toxic = ordinary + f" {' '.join(reversed(marks))} ".encode()
+
+    def trained(label: int, most: int) -> bytes:
+        pieces = seen.where(F.col("toxic") == label).select("text").mapInArrow(cut, "window binary")
+        pieces = [bytes(r["window"]) for r in pieces.orderBy(F.xxhash64("window")).limit(most).collect()]
+        try:
+            return zstandard.train_dictionary(DICT_BYTES, pieces).as_bytes()
+        except zstandard.ZstdError:  # too few samples: they are the dictionary
+            return b"".join(pieces)[:DICT_BYTES]
+
+    ordinary, toxic = trained(0, ORDINARY_WINDOWS), trained(1, TOXIC_WINDOWS)
+    marked = ordinary + f" {' '.join(reversed(marks))} ".encode()
 
     def measure(batches):
-        packers = packer(ordinary), packer(toxic)
+        packers = packer(ordinary), packer(toxic), packer(marked)
         for b in batches:
             x = features([t or "" for t in b.column(0).to_pylist()], *packers)
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["toxic", "x"])
@@ -164,7 +171,7 @@ def fit(rows: DataFrame) -> Model | None:
     f1 = np.where(told - hits <= FALSE_ALARMS * (len(y) - y.sum()), 2 * hits / (told + y.sum()), 0)
     best = z[order][int(np.argmax(f1))] if f1.any() else z.max() + 1
     weights[-1] += logit(THRESHOLD) + 1e-6 - best
-    return Model(ordinary, toxic, mean, scale, weights)
+    return Model(ordinary, toxic, marked, mean, scale, weights)
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
@@ -172,7 +179,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataF
     kept = [c for c in docs.columns if c != "score"]
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        packers = (packer(model.ordinary), packer(model.toxic)) if model else None
+        packers = (packer(model.ordinary), packer(model.toxic), packer(model.marked)) if model else None
         for b in batches:
             texts = [t or "" for t in b.column(len(kept)).to_pylist()]
             s = model.scores(texts, packers) if model else np.zeros(len(texts))
