@@ -13,6 +13,7 @@ plan. The order columns together should be unique.
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.rx import as_col, is_blank
+from ..session import stored
 
 
 def range_bits(df: DataFrame, ranges: int | None = None) -> int:
@@ -68,6 +69,28 @@ def _join_back(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(side, cond, "left").drop("__side_range", *[f"__k{i}" for i in range(len(keys))])
 
 
+def numbered(df: DataFrame, order, out: str = "Index", start: int = 0, label: str = "numbered") -> DataFrame:
+    """Gap-free numbers over all rows in order: one range shuffle, no window over rows.
+
+    The rows are range-partitioned, sorted and stored once with their place in
+    their partition; a prefix sum over the partition totals, one row for each
+    partition, turns places into numbers. Rows alike in all order columns
+    share a partition, so end the order with a column that tells rows apart.
+    An empty input gives an empty output; a column called ``out`` is replaced.
+    """
+    cols = _order(_names(order))
+    laid = df.drop(out).repartitionByRange(*cols).sortWithinPartitions(*cols)
+    laid = stored(laid.withColumn("__at", F.monotonically_increasing_id()), label)
+    # monotonically_increasing_id is the partition number followed by 33 bits of the row's place.
+    totals = laid.groupBy(F.shiftright("__at", 33).alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
+    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    # One row for each shuffle partition: small whatever the input.
+    joined = laid.join(F.broadcast(offsets), F.shiftright("__at", 33) == F.col("__part"))
+    return joined.withColumn(out, F.col("__offset") + place + F.lit(start)).drop("__at", "__part", "__offset")
+
+
 def running_sum(df: DataFrame, value, order, keys=(), out: str = "running", ranges: int | None = None, start: int = 0) -> DataFrame:
     """Sum of ``value`` over all rows up to this one, per key, in order; NULL before the first value."""
     order, keys = _names(order), _names(keys)
