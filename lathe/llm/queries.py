@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, htmltext, langid, packing, quality, simhash, toxicity, urlrules, warc
+from . import ahobpe, align, bpe, exact, htmltext, langid, packing, quality, resample, simhash, toxicity, urlrules, warc
 
 #: Host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -61,7 +61,34 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_simhash, op3_exact, op4_bpe, op5_warc, op6_urlrules, op7_langid, op8_html, op9_quality, op10_toxicity)}
+def op11_resample(spark, sf_dir):
+    return resample.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_ahobpe(spark, sf_dir):
+    return ahobpe.encode_texts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
+def op13_align(spark, sf_dir):
+    return align.align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+OPERATORS = (
+    op1_packing,
+    op2_simhash,
+    op3_exact,
+    op4_bpe,
+    op5_warc,
+    op6_urlrules,
+    op7_langid,
+    op8_html,
+    op9_quality,
+    op10_toxicity,
+    op11_resample,
+    op12_ahobpe,
+    op13_align,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
 
 UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 SYMBOL_COUNT = "length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))"
@@ -109,4 +136,28 @@ SQL = {
                not base_failed and word_chars >= 2 * n_words and word_chars <= 14 * n_words
                and n_symbols <= 0.25::double * n_words and stops >= 0.01::double * n_words and n_dup_lines <= 0.3::double * n_lines as kept
         from f""",
+    "op11_resample": f"""
+        with crc as (
+            select list(c order by i) as tab from (
+                select i, list_reduce(list_prepend(i::bigint, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c
+                from range(256) t(i))),
+        x as (select 1 as side, row_number() over () as r, doc_id, text from documents union all select 2, row_number() over (), null, text from benchmark),
+        w as (select side, r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {UPPER}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda v: v <> '') as w from x),
+        f as (select side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) as f from w),
+        h as (select f, hex(encode(f)) as h from (select distinct f from f)),
+        b as (
+            select f, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, len(h), 2), lambda i: ('0x' || substr(h, i, 2))::bigint)),
+                                                  lambda c, v: xor(c >> 8, tab[(xor(c, v) & 255) + 1]))) % 10000 as bucket
+            from h, crc),
+        n as (select bucket, count(*) filter (side = 1) as s, count(*) filter (side = 2) as t from f join b using (f) group by 1),
+        a as (select sum(s)::double as s_all, sum(t)::double as t_all from n),
+        g as (select bucket, floor(1000 * ln(((t + 1) * (s_all + 10000)) / ((s + 1) * (t_all + 10000))))::bigint as gain from n, a),
+        d as (select r, count(*) as n, sum(gain)::bigint as gain from f join b using (f) join g using (bucket) where side = 1 group by 1),
+        e as (
+            select doc_id, len(w) as words, coalesce(n, 0)::bigint as n_features, coalesce(floor(gain::double / n), 0)::bigint as weight,
+                   ('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint as h
+            from w left join d using (r) where side = 1),
+        z as (select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score, words >= 20 as fit from e),
+        o as (select *, row_number() over (partition by fit order by score desc, doc_id nulls last) as k, count(*) filter (fit) over () as n_fit from z)
+        select doc_id, n_features, weight, score, case when fit and k <= 25 * n_fit // 100 then k end as rank from o""",
 }
