@@ -1,7 +1,7 @@
 """Packing of documents into fixed windows by non-negative least squares.
 
 Documents are cut at every full window; what is left of each is a tail. Tails
-are counted by length in ``BINS`` steps. Shallow combinations of lengths that
+are counted by length in ``BINS`` steps, short ones by their exact length. Shallow combinations of lengths that
 fill a window are enumerated, repeat counts are solved against the histogram
 (non-negative least squares), rounded down, and what remains is packed
 greedily on the histogram. Only the histogram, one number for each length
@@ -33,6 +33,8 @@ from .pieces import WORD_PATTERN, PieceIds, is_plain, special_tokens
 WINDOW = 4096
 #: Length steps of a window; a tail takes its length rounded up to a step.
 BINS = 256
+#: Tails of up to so many tokens keep their exact length and fill what the others leave.
+FINE = 256
 #: Tails in a combination that least squares may use; the greedy rest has no such limit.
 DEPTH = 3
 
@@ -92,10 +94,11 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WIND
     """Pieces of at most ``window`` tokens, each with its checksum, its length
     step (0: a full window), the task that cut it and its number there."""
     step = max(1, window // BINS)
+    fine = FINE if step > 1 else 0
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        w, task, seen = words(path), TaskContext.get().partitionId(), np.zeros(window // step + 2, np.int64)
+        w, task, seen = words(path), TaskContext.get().partitionId(), np.zeros(window + step + 1, np.int64)
         for batch in batches:
             keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in chunks(texts):
@@ -104,7 +107,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WIND
                     e = np.append(e, end_id).astype("<u4")
                     for s in range(0, len(e), window):
                         piece = e[s : s + window]
-                        k = 0 if len(piece) == window else -(-len(piece) // step)
+                        k = 0 if len(piece) == window else len(piece) if len(piece) <= fine else min(-(-len(piece) // step) * step, window // step * step)
                         row.append(i)
                         start.append(s)
                         length.append(len(piece))
@@ -161,10 +164,10 @@ def combinations(bins: list[int], full: int, depth: int = DEPTH) -> list[tuple[i
     return out
 
 
-def plan(histogram: dict[int, int], full: int = BINS, depth: int = DEPTH) -> list[tuple[tuple[int, ...], int]]:
-    """(combination, repeats), together using every tail of the histogram once."""
+def plan(histogram: dict[int, int], full: int = BINS, depth: int = DEPTH, fine: int = 0) -> list[tuple[tuple[int, ...], int]]:
+    """(combination, repeats), together using every tail of the histogram once; lengths up to ``fine`` only fill what is left."""
     left = {b: n for b, n in histogram.items() if n > 0}
-    bins, out = sorted(left), []
+    bins, out = sorted(b for b in left if b > fine), []
     mixes = combinations(bins, full, depth)
     if mixes:
         row = {b: i for i, b in enumerate(bins)}
@@ -211,11 +214,11 @@ def slots(steps: list[tuple[tuple[int, ...], int]], full_windows: int) -> dict[i
 def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``; at most ``window`` tokens to a sequence."""
     pieces = stored(pieces, "pieces")
-    spark, full = pieces.sparkSession, window // max(1, window // BINS)
+    step = max(1, window // BINS)
     totals = pieces.groupBy("task", "bin").count()
     before = totals.withColumn("before", F.sum("count").over(Window.partitionBy("bin").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)))
     histogram = {r["bin"]: r["n"] for r in totals.groupBy("bin").agg(F.sum("count").alias("n")).collect()}
-    table = slots(plan({b: n for b, n in histogram.items() if b}, full), histogram.get(0, 0))
+    table = slots(plan({b: n for b, n in histogram.items() if b}, window // step * step, fine=FINE if step > 1 else 0), histogram.get(0, 0))
 
     def place(batches):
         for batch in batches:
