@@ -131,15 +131,16 @@ def html_to_line(c) -> Column:
     return squeeze(decode_entities(drop_tags(c, " ")))
 
 
-def description_until_marker(c, max_chars: int = 800) -> Column:
-    """K6: cut at the first listed marker that starts after position 50.
+def description_until_marker(c, max_chars: int | None = None) -> Column:
+    """K6: cut at the first listed marker that starts after position 50, and after ``max_chars`` if given.
 
     The order of STOP_MARKERS decides, not the position in the text.
     """
     c = as_col(c)
     low = F.lower(c)
     cuts = [F.when(F.locate(m, low) > 51, F.substring(c, F.lit(1), F.locate(m, low) - 1)) for m in STOP_MARKERS]
-    return F.substring(squeeze(F.coalesce(*cuts, c)), 1, max_chars)
+    whole = squeeze(F.coalesce(*cuts, c))
+    return F.substring(whole, 1, max_chars) if max_chars else whole
 
 
 def plain_quotes(c) -> Column:

@@ -158,12 +158,12 @@ def keyword_found(text, keyword: str) -> Column:
     return hit
 
 
-def address_candidates(html) -> Column:
-    """Address elements, and short texts with a street word."""
+def address_candidates(html, shorter_than: int | None = None) -> Column:
+    """Address elements, and texts of an element with a street word, those shorter than ``shorter_than`` if given."""
     own = F.transform(inner_all(html, "address"), html_to_line)
     short = F.flatten(F.array(*[F.transform(inner_all(html, t), html_to_line) for t in ("p", "div", "span")]))
     words = "|".join(w.replace(".", r"\.") for w in STREET_WORDS)
-    short = F.filter(short, lambda x: (F.length(x) < 200) & x.rlike(words))
+    short = F.filter(short, lambda x: x.rlike(words) & (F.length(x) < shorter_than if shorter_than else F.lit(True)))
     return F.array_distinct(F.filter(F.concat(own, short), lambda x: x != ""))
 
 
@@ -210,7 +210,7 @@ def site_findings(pages: DataFrame, site: str, order: str, url: str = "url", htm
     flags = base.withColumns(keyword_groups("__text"))
     found = keyword_pages(flags, site, order, url, KEYWORD_GROUPS, last)
     listed = F.array_join(F.filter(F.array(*[F.when(F.col(f"{g}_found") == "Yes", F.initcap(F.lit(g))) for g in KEYWORD_GROUPS]), lambda x: x.isNotNull()), ", ")
-    spots = base.select(site, F.explode(address_candidates(html)).alias("__a"))
+    spots = base.select(site, F.explode(address_candidates(html, shorter_than=200)).alias("__a"))
     addresses = sorted_set(spots, site, "__a", "address", " ; ").withColumnRenamed(site, "__site")
     joined = found.withColumn("found_keywords_list", listed).join(addresses, F.col(site).eqNullSafe(F.col("__site")), "left").drop("__site")
     return joined.withColumn("address", F.coalesce("address", F.lit("")))

@@ -98,10 +98,10 @@ def dimension_like(c) -> Column:
     return F.coalesce(~t.contains("product") & t.rlike(signs), F.lit(False))
 
 
-def size_lines(c, n: int = 3) -> Column:
-    """First n lines with a number and a size letter."""
+def size_lines(c, n: int | None = None) -> Column:
+    """Lines with a number and a size letter, the first n if given."""
     hits = F.filter(lines_of(c), lambda x: x.rlike(r"\d") & x.rlike(r"(?i)\b[HWD]\b|Dia|Ø"))
-    return F.slice(hits, 1, n)
+    return F.slice(hits, 1, n) if n else hits
 
 
 def first_n(arr, n: int) -> Column:

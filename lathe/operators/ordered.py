@@ -107,6 +107,8 @@ def running_sum(df: DataFrame, value, order, keys=(), out: str = "running", rang
 
 def running_index(df: DataFrame, order, keys=(), out: str = "Index", ranges: int | None = None, start: int = 0) -> DataFrame:
     """H1 with keys, H2 without: gap-free 1..n in order."""
+    if not _names(keys):
+        return numbered(df, order, out, start)
     return running_sum(df, F.lit(1).cast("bigint"), order, keys, out, ranges, start)
 
 

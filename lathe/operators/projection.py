@@ -219,6 +219,25 @@ def category_columns(long: DataFrame, category: str, order: str) -> DataFrame:
     return firsts.groupBy(category).agg(F.transform(F.array_sort(F.collect_list(F.struct("__o", "key"))), lambda x: x["key"]).alias("columns"))
 
 
+def routed(long: DataFrame, keys, fixed, order, key: str = "key", value: str = "value", extras: str = "extras") -> DataFrame:
+    """C17: one row per ``keys``: the fixed columns, and a map of all other pairs.
+
+    Keys are trimmed and title-cased; pairs without a key or value are nothing.
+    A fixed column keeps its first value, an extra its last, at the place where
+    its key came first. A first step leaves one row for each product and key, so a
+    product's pairs meet only once they are distinct.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    pairs = long.select(*keys, F.initcap(F.trim(key)).alias("__key"), F.trim(value).alias("__value"), F.col(order).alias("__order"))
+    pairs = pairs.where((F.col("__key") != "") & (F.col("__value") != ""))
+    first = F.min_by("__value", "__order").alias("__first")
+    each = pairs.groupBy(*keys, "__key").agg(first, F.max_by("__value", "__order").alias("__last"), F.min("__order").alias("__at"))
+    columns = [F.max(F.when(F.col("__key") == c, F.col("__first"))).alias(c) for c in fixed]
+    other = F.collect_list(F.when(~F.col("__key").isin(*fixed), F.struct("__at", "__key", "__last")))
+    entries = F.transform(F.array_sort(other), lambda x: F.struct(x["__key"].alias("key"), x["__last"].alias("value")))
+    return each.groupBy(*keys).agg(*columns, F.map_from_entries(entries).alias(extras))
+
+
 def route_keys(long: DataFrame, fixed) -> DataFrame:
     """C17: marks each pair as a fixed column or an extra."""
     return long.withColumn("target", F.when(F.col("key").isin(*fixed), F.lit("fixed")).otherwise(F.lit("extra")))

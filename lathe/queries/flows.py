@@ -209,11 +209,12 @@ def _(spark, sf):
     e = table(spark, sf, "events").select("user_id", "event_id", "ts")
     middle = e.agg(F.avg("user_id")).collect()[0][0]
     # Two landings; what lands second is older by its name only, and has keys that the first has not.
-    e.filter(F.col("user_id") > middle).coalesce(1).write.parquet(f"{out}/in/a")
-    s = M.landing_stream(spark, f"{out}/in/*", e.schema, files_per_batch=1)
-    M.sightings_stream(s, f"{out}/rows", f"{out}/state", "user_id", ["ts", "event_id"]).awaitTermination()
-    e.withColumn("ts", F.expr("ts - interval 900 days")).coalesce(1).write.parquet(f"{out}/in/b")
+    e.filter(F.col("user_id") > middle).write.parquet(f"{out}/in/a")
+    s = M.landing_stream(spark, f"{out}/in/*", e.schema)
     M.sightings_stream(s, f"{out}/rows", f"{out}/state", "user_id", ["ts", "event_id"]).awaitTermination()
+    e.withColumn("ts", F.expr("ts - interval 900 days")).write.parquet(f"{out}/in/b")
+    # The second run starts anew: it reads both landings and adds only what the table does not have.
+    M.sightings_stream(s, f"{out}/rows", f"{out}/state2", "user_id", ["ts", "event_id"]).awaitTermination()
     return spark.read.schema(e.schema).parquet(f"{out}/rows").select("user_id")
 
 

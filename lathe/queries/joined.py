@@ -252,7 +252,7 @@ def _(spark, sf):
 @query("size_line_candidates", "select p_partkey, concat('W ', p_size, '|', 'D ', p_size + 1, '|', 'H ', p_size + 2) as size_lines from part")
 def _(spark, sf):
     text = F.concat(F.lit("finest oak\n W "), S("p_size"), F.lit("\nno size\nD "), (F.col("p_size") + 1).cast("string"), F.lit("\nH "), (F.col("p_size") + 2).cast("string"), F.lit("\nDia 9"))
-    return table(spark, sf, "part").select("p_partkey", F.array_join(P.size_lines(text), "|").alias("size_lines"))
+    return table(spark, sf, "part").select("p_partkey", F.array_join(P.size_lines(text, 3), "|").alias("size_lines"))
 
 
 @query("detail_noise_filter", "select p_partkey, case when p_partkey % 2 = 0 then p_name else concat(p_name, ',', p_type) end as details from part")

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..operators import ordered as O
-from ..sinks.tables import brand_category_links, sheet_list, sheet_name, sheet_name_clashes
+from ..session import fresh_dir
+from ..sinks.tables import brand_category_links, sheet_list, sheet_name, sheet_name_clashes, write_numbered_batches
 from .copies import ORDER, ORDER_SQL
 from .registry import query, table
 
@@ -42,6 +43,26 @@ def _(spark, sf):
     return O.batch_number(items(spark, sf), ORDER)
 
 
+@query(
+    "numbered_batch_files",
+    "select cast((k + 49) // 50 as bigint) as batch, 1::bigint as files, count(*) as n, min(o_orderkey) as first_key, max(o_orderkey) as last_key from (select o_orderkey, row_number() over (order by o_orderkey) as k from orders) group by 1",
+)
+def _(spark, sf):
+    path = fresh_dir(spark, "batches")
+    write_numbered_batches(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), path, "o_orderkey")
+    back = spark.read.parquet(path).select("o_orderkey", F.col("batch").cast("bigint").alias("batch"), F.input_file_name().alias("file"))
+    return back.groupBy("batch").agg(F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+
+
+@query("sorted_by_category_serial", f"select o_orderkey, row_number() over (order by case o_orderstatus when 'P' then 0 when 'F' then 1 end nulls last, o_orderkey) as serial from orders")
+def _(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    dim = spark.createDataFrame([("P", 0), ("F", 1)], "category string, ord int")
+    rows = O.sort_by_category(o, dim, "o_orderstatus", "o_orderkey")
+    ranked = rows.join(F.broadcast(dim), F.col("o_orderstatus") == F.col("category"), "left")
+    return O.numbered(ranked, [F.asc_nulls_last("ord"), "o_orderkey"], "serial").select("o_orderkey", "serial")
+
+
 @query("sheet_order_first_seen", "select p_brand, dense_rank() over (order by f) as sheet_ord from (select p_brand, min(p_partkey) f from part group by 1)")
 def _(spark, sf):
     return O.sheet_order(table(spark, sf, "part"), "p_brand", "p_partkey").select("p_brand", "sheet_ord")

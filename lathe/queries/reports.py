@@ -277,6 +277,20 @@ def _(spark, sf):
     return C.live_keys(long, "p_type")
 
 
+@query(
+    "routed_columns",
+    """with p as (select user_id, upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) as k, event_id from events),
+       e as (select user_id, k, min(event_id) as a, max(event_id) as z from p group by all)
+       select user_id, max(case when k = 'Click' then a end)::varchar as "Click", max(case when k = 'View' then a end)::varchar as "View",
+              coalesce(string_agg(k || '=' || z, '|' order by a) filter (k not in ('Click', 'View')), '') as extras from e group by 1""",
+)
+def _(spark, sf):
+    e = table(spark, sf, "events").select("user_id", "event_id", F.concat(F.lit(" "), F.upper("event_type")).alias("key"), S("event_id").alias("value"))
+    blank = e.withColumn("value", F.lit(" ")).withColumn("event_id", -F.col("event_id") - 1)
+    wide = C.routed(e.union(blank), "user_id", ["Click", "View"], "event_id")
+    return wide.withColumn("extras", F.array_join(F.transform(F.map_entries("extras"), lambda x: F.concat_ws("=", x["key"], x["value"])), "|"))
+
+
 @query("route_keys", "select event_id, event_type as key, case when event_type in ('click', 'view') then 'fixed' else 'extra' end as target from events")
 def _(spark, sf):
     return C.route_keys(long_props(spark, sf), ["click", "view"]).select("event_id", "key", "target")

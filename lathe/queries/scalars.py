@@ -45,7 +45,7 @@ text_query("html_to_line", T.html_to_line, f"trim(regexp_replace(replace(replace
 def _(spark, sf):
     d = texts(spark, sf, "documents")
     t = F.when(F.col("doc_id") % 2 == 0, F.concat("text", F.lit(" Shipping free. Materials: oak."))).otherwise(F.concat(F.lit("dimensions. "), F.col("text"), F.lit(" shipping")))
-    out = T.description_until_marker(T.squeeze(t))
+    out = T.description_until_marker(T.squeeze(t), 800)
     return d.select("doc_id", F.md5(out.cast("binary")).alias("digest"))
 
 

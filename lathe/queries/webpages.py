@@ -124,7 +124,7 @@ def _(spark, sf):
 def _(spark, sf):
     k = S("page_id")
     html = F.concat(F.lit("<address>"), k, F.lit(" Elm <b>Street</b></address><p>"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("Suite "), k)).otherwise("nothing here"), F.lit("</p><div>"), F.repeat(F.lit("Avenue "), 40), F.lit("</div>"))
-    return pages(spark, sf).select("page_id", F.array_join(N.address_candidates(html), ";").alias("spots"))
+    return pages(spark, sf).select("page_id", F.array_join(N.address_candidates(html, shorter_than=200), ";").alias("spots"))
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.rx import as_col, present
 from ..operators.dedup import keep_first
-from ..operators.ordered import running_index, sheet_order
+from ..operators.ordered import batch_number, running_index, sheet_order
 from ..operators.projection import to_export
 
 SHEET_NAME_LIMIT = 31
@@ -90,15 +90,26 @@ def stored_categories(spark: SparkSession, path: str, category: str) -> DataFram
     return spark.read.schema(StructType(fields)).parquet(path)
 
 
+def written(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """The rows written so far; None before the first write."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def upsert_by_category(new: DataFrame, path: str, category: str, key: str, order) -> None:
     """Previous rows win, so rows of unseen (category, key) pairs are appended and nothing is rewritten.
 
-    NULL is a category and a key like any other. A column that only the stored
+    NULL is a category and a key like any other; an empty category is NULL, as
+    its folder could not tell them apart. A column that only the stored
     or only the new rows have stays, NULL for the others. Writing the same
     rows twice changes nothing; a failed write leaves the table as it was. The
     rebalance hint gives each category few files and cuts a large one.
     """
-    fresh = keep_first(new.withColumn(category, F.col(category).cast("string")), [category, key], order)
+    fresh = keep_first(new.withColumn(category, F.nullif(F.col(category).cast("string"), F.lit(""))), [category, key], order)
     old = stored_categories(new.sparkSession, path, category)
     if old is not None:
         seen = old.select(F.col(category).alias("__c"), F.col(key).alias("__k"))
@@ -106,6 +117,13 @@ def upsert_by_category(new: DataFrame, path: str, category: str, key: str, order
     fresh.hint("rebalance", category).write.mode("append").partitionBy(category).parquet(path)
 
 
+def write_numbered_batches(df: DataFrame, path: str, order, rows_per_file: int = 50) -> None:
+    """Folder ``batch=k`` holds the rows k * n - n + 1 to k * n of the order, in one file, sorted."""
+    placed = batch_number(df, order, rows_per_file, "batch")
+    names = [order] if isinstance(order, str) else list(order)
+    placed.repartitionByRange("batch").sortWithinPartitions("batch", *names).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch").parquet(path)
+
+
 def write_batches(df: DataFrame, path: str, rows_per_file: int = 50) -> None:
     """Files of a fixed number of rows."""
     df.write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)

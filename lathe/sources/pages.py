@@ -109,30 +109,29 @@ def embedded_product(html) -> Column:
 
 
 def balanced_json(c, marker: str) -> Column:
-    """The JSON object after a marker.
+    """The source text of the JSON object after a marker; NULL if there is none or it does not close.
 
-    Nesting is beyond a regex, so the JSON decoder finds the end; Arrow batches.
+    One fold over escapes, quotes, brackets and what lies between them keeps
+    the depth outside strings; the text is cut, never written anew, so numbers
+    keep their digits.
     """
+    c = as_col(c)
+    rest = F.substring(c, F.locate(marker, c), F.length(c))
+    start = F.when(F.locate(marker, c) > 0, F.locate("{", rest))
+    rest = F.when(start > 0, F.substring(rest, start, F.length(rest)))
+    parts = F.regexp_extract_all(rest, F.lit(r'(?s)(\\.|["{}\[\]\\]|[^"{}\[\]\\]++)'), F.lit(1))
+    zero = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("text"), F.lit(0).alias("at"), F.lit(0).alias("end"))
 
-    def read(texts):
-        import json
+    def step(s, p):
+        text = s["text"] != (p == '"')
+        depth = s["depth"] + F.when(text, 0).when(p.isin("{", "["), 1).when(p.isin("}", "]"), -1).otherwise(0)
+        at = s["at"] + F.length(p)
+        end = F.when((s["end"] == 0) & (depth == 0), at).otherwise(s["end"])
+        return F.struct(depth.alias("depth"), text.alias("text"), at.alias("at"), end.alias("end"))
 
-        decoder = json.JSONDecoder()
-
-        def one(t):
-            at = t.find(marker)
-            start = t.find("{", at) if at >= 0 else -1
-            if start < 0:
-                return None
-            try:
-                value, _ = decoder.raw_decode(t, start)
-            except ValueError:
-                return None
-            return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
-
-        return texts.map(one, na_action="ignore")
-
-    return F.pandas_udf(read, "string")(as_col(c))
+    end = F.aggregate(parts, zero, step)["end"]
+    found = F.when(end > 0, F.substring(rest, F.lit(1), end))
+    return F.when(F.get_json_object(found, "$").isNotNull(), found)
 
 
 # JSON keys of metric sizes, English and Dutch.
@@ -243,8 +242,8 @@ def bold_facts(html) -> dict[str, Column]:
     return {"facts": map_last(facts), "description": blank_to_null(F.array_join(plain, " "))}
 
 
-def technical_specs(html) -> dict[str, Column]:
-    """ALL-CAPS sections of the technical part of a page to lighting attributes."""
+def technical_specs(html, max_chars: int | None = None) -> dict[str, Column]:
+    """ALL-CAPS sections of the technical part of a page to lighting attributes; ``max_chars`` cuts mounting and shade."""
     text = page_lines(html)
     part = F.coalesce(
         grab(text, r"(?is)Technical Specs\s*(.*?)(?=\s*Downloads\b)"),
@@ -261,6 +260,9 @@ def technical_specs(html) -> dict[str, Column]:
     def first(*names):
         return blank_to_null(F.trim(F.substring_index(sec(*names), "\n", 1)))
 
+    def capped(c):
+        return F.substring(c, 1, max_chars) if max_chars else c
+
     heights = sec("OVERALL HEIGHT")
     weight = sec("WEIGHT (CANOPY AND LIGHTS)", "WEIGHT (CANOPY & LIGHTS)", "WEIGHT")
     return {
@@ -269,7 +271,7 @@ def technical_specs(html) -> dict[str, Column]:
         "lumens": first("LUMENS"),
         "color_temp": first("COLOR TEMP", "COLOR TEMPERATURE"),
         "input_voltage": first("INPUT VOLTAGE", "VOLTAGE"),
-        "mounting": F.substring(line("MOUNTING"), 1, 300),
+        "mounting": capped(line("MOUNTING")),
         "cord_length": line("CORD LENGTH", "CORD"),
         "drop_rod": line("DROP ROD"),
         "oah_max": grab(heights, r"(?i)OAH\s*max[:\s]*([\d.]+)"),
@@ -279,7 +281,7 @@ def technical_specs(html) -> dict[str, Column]:
         "canopy": line("CANOPY"),
         "socket": line("SOCKET", "SOCKET TYPE"),
         "wattage": F.coalesce(grab(sec("WATTAGE"), r"(?i)(\d+\s*W(?:att)?)"), line("WATTAGE")),
-        "shade": F.substring(line("SHADE DIMENSIONS", "SHADE"), 1, 200),
+        "shade": capped(line("SHADE DIMENSIONS", "SHADE")),
         "backplate": line("BACKPLATE", "WALL PLATE"),
     }
 

@@ -85,7 +85,8 @@ def seat_by_letters(c) -> dict[str, Column]:
 
 def labelled_measure(c, label: str) -> Column:
     """``Seat Height: 18`` and friends."""
-    return grab(c, rf"(?i){label.replace(' ', chr(92) + 's+')}[:\s]*{N}")
+    words = label.replace(" ", r"\s+")
+    return grab(c, rf"(?i){words}[:\s]*{N}")
 
 
 def measure_map(c) -> Column:
@@ -320,11 +321,12 @@ def shade_phrase(c) -> Column:
     return blank_to_null(sub(F.trim(sub(t, r"(?i)\s*View\s+this.*$", "")), r",+\s*$", ""))
 
 
-def shade_three_part(c) -> Column:
-    """Top, bottom and height numbers; else the first three numbers of the shade block."""
+def shade_three_part(c, numbers: int | None = None) -> Column:
+    """Top, bottom and height numbers; else the numbers of the shade block, the first ``numbers`` if given."""
     parts = [grab(block_after(c, f"Shade {w}", MEASURE_LABELS), N) for w in ("Top", "Bottom", "Height")]
     block = F.coalesce(block_after(c, "Shade Details", MEASURE_LABELS), block_after(c, "Shade", MEASURE_LABELS))
-    nums = F.array_join(F.slice(grab_all(block, N), 1, 3), ", ")
+    found = grab_all(block, N)
+    nums = F.array_join(F.slice(found, 1, numbers) if numbers else found, ", ")
     return F.coalesce(blank_to_null(F.concat_ws(", ", *parts)), blank_to_null(nums))
 
 

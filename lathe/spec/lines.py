@@ -231,7 +231,7 @@ def line_after(c, keyword: str, digit: bool = False) -> Column:
     return F.when(at > 0, F.get(below, F.lit(0)))
 
 
-def sheet_attributes(c) -> dict[str, Column]:
+def sheet_attributes(c, raw_chars: int | None = None) -> dict[str, Column]:
     """A10: spec-sheet attributes; keys match as substrings in priority order.
 
     A repeated key keeps its first place and its last value.
@@ -246,7 +246,8 @@ def sheet_attributes(c) -> dict[str, Column]:
             key = F.get(F.filter(pairs, lambda p: p["key"].contains(w)), F.lit(0))["key"]
             hits.append(F.try_element_at(F.filter(pairs, lambda p: p["key"] == key), F.lit(-1))["value"])
         out[target] = F.coalesce(*hits)
-    out["raw_text"] = F.replace(F.substring(as_col(c), 1, 1500), F.lit("\n"), F.lit(" | "))
+    raw = F.substring(as_col(c), 1, raw_chars) if raw_chars else as_col(c)
+    out["raw_text"] = F.replace(raw, F.lit("\n"), F.lit(" | "))
     return out
 
 

@@ -194,7 +194,7 @@ def _(r):
 
 @pack("JBI")
 def _(r):
-    r.rewrite(lambda t: F.translate(t, "‘’‚‛“”„‟\"' ", " "[:0]))
+    r.rewrite(lambda t: F.translate(t, "‘’‚‛“”„‟\"' ", ""))
     r.tokens(
         r"[\d.]+\s*[A-Za-z.]+",
         {"diameter": rf"(?i)[\d\s]{DIA_WORD}\.*$", "width": r"(?i)[\d\s]W\.*$", "depth": r"(?i)[\d\s]D\.*$", "length": r"(?i)[\d\s]L\.*$", "height": r"(?i)[\d\s](?:H|OAH)\.*$"},

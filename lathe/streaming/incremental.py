@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rx import is_blank
 from ..operators.dedup import append_old_wins, keep_first
-from ..sinks.tables import upsert_by_category
+from ..sinks.tables import upsert_by_category, written
 
 
 def landing_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -31,15 +31,18 @@ def first_sightings(stream: DataFrame, key: str, landed: str | None = None, hori
 
 
 def sightings_stream(stream: DataFrame, path: str, checkpoint: str, key: str, order, once: bool = True) -> StreamingQuery:
-    """M1: rows of keys that the written table does not have, however late they land; no state, replays change nothing."""
+    """M1: rows of keys that the written table does not have, however late they land; no state.
+
+    What is there stays, also for a new checkpoint; replays change nothing.
+    """
     schema = stream.schema
 
     def add(batch: DataFrame, batch_id: int) -> None:
         fresh = keep_first(batch.filter(~is_blank(key)), key, order)
-        done = batch.sparkSession.read.schema(schema).option("ignoreMissingFiles", True)
-        if batch_id > 0:
-            fresh = fresh.join(done.parquet(path).select(key), key, "left_anti")
-        fresh.write.mode("append" if batch_id else "overwrite").parquet(path)
+        done = written(batch.sparkSession, path, schema)
+        if done is not None:
+            fresh = fresh.join(done.select(key), key, "left_anti")
+        fresh.write.mode("append").parquet(path)
 
     writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -286,3 +286,39 @@ def test_vendor_rows_without_a_grammar_stay(spark):
 
 def test_references(evaluate):
     assert evaluate(T.decode_entities, "Caf&eacute; 5&#8243; &deg; &#x1F642; &amp;lt; &#0; &bogus; a&b &nbsp;x") == "Café 5″ ° \U0001f642 &lt; \ufffd &bogus; a&b  x"
+
+
+def test_balanced_json_is_a_slice(spark):
+    from lathe.sources.pages import balanced_json
+
+    deep = '{"a":' * 300 + "1" + "}" * 300
+    cases = [
+        ('x shop = {"p": 1.10, "n": 1234567890123456789012, "s": "}\\"{", "e": "\\\\"} {', '{"p": 1.10, "n": 1234567890123456789012, "s": "}\\"{", "e": "\\\\"}'),
+        ('shop = {"open": [1, {"b": 2}', None),
+        ("shop = nothing", None),
+        ('{"before": 1}', None),
+        (f"shop {deep} tail", deep),
+        ('shop {"long": "' + "a\\n" * 20000 + '"};', '{"long": "' + "a\\n" * 20000 + '"}'),
+        ("", None),
+        (None, None),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
+    got = {r["i"]: r["j"] for r in df.select("i", balanced_json("t", "shop").alias("j")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def test_numbered_reads_twice_and_counts_every_row(spark):
+    from lathe.operators.ordered import numbered
+
+    rows = spark.createDataFrame([(i % 7, -i) for i in range(1000)], "a int, b int").repartition(5)
+    got = sorted((r["a"], r["b"], r["n"]) for r in numbered(rows, ["a", "b"], "n").collect())
+    assert [n for *_, n in got] == list(range(1, 1001))
+    assert numbered(rows.limit(0), ["a"], "n").count() == 0
+
+
+def test_routed_keeps_first_of_fixed_and_last_of_extras(spark):
+    from lathe.operators.projection import routed
+
+    rows = [(1, " width ", "10", 1), (1, "WIDTH", "11", 2), (1, "Finish", "a", 3), (1, "finish", " b ", 4), (1, "seat", " ", 5), (1, None, "z", 6), (2, "Arm", "q", 1), (2, "Arm height", "r", 0)]
+    got = routed(spark.createDataFrame(rows, "id int, key string, value string, at int"), "id", ["Width", "Depth"], "at").collect()
+    assert {r["id"]: (r["Width"], r["Depth"], r["extras"]) for r in got} == {1: ("10", None, {"Finish": "b"}), 2: (None, None, {"Arm Height": "r", "Arm": "q"})}
