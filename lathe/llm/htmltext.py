@@ -35,16 +35,18 @@ VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "l
 BLOCK = frozenset(
     {"address", "article", "aside", "blockquote", "body", "button", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "frameset", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "label", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 )
-BESIDE = frozenset({"nav", "header", "footer", "aside", "form", "button", "dialog", "menu", "head", "fieldset", "label"})
+BESIDE = frozenset({"nav", "header", "footer", "aside", "button", "dialog", "menu", "head"})
+#: Some site frameworks put a whole page into these.
+FORMS = frozenset({"form", "fieldset", "label"})
 #: Whole class, id or role names that mark what is beside the content; a part of a longer name (``has-sidebar``) says nothing.
 BESIDE_NAME = re.compile(
-    r"(?:^|\s)(?:(?:site|page|main|top|left|right|primary|secondary|post|article|global|social|cookie|user|email)[_-]+)?(?:ads?|advert\w*|banner\w*|breadcrumbs?|bylinks?|comments?|commentlist|consent|cookies?|copyright|disclaimer|disqus|dialog|footer|form|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|pagination|pager|popup|promos?|promoted|recommended|related|replies|respond|search|share|sharing|sidebar|side|signup|skip|social|sponsor\w*|subscribe|tags|toolbar|topbar|widgets?|complementary|contentinfo)(?:[_-]+(?:\d+|area|bar|block|box|container|content|inner|links?|list|menu|nav|section|widget|wrap|wrapper))*(?=$|\s)",
+    r"(?:^|\s)(?:(?:site|page|main|top|left|right|primary|secondary|post|article|global|social|cookie|user|email|reader|privacy|popular|recent|latest)[_-]+)?(?:ads?|adsbygoogle|advert\w*|alerts?|banner\w*|breadcrumbs?|bylinks?|comments?|commentlist|consent|cookies?|copyright|disclaimer|disqus|dialog|footer|form|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|popular(?=[_-]posts)|pagination|pager|popup|promos?|promoted|recommended|related|replies|respond|search|share|sharing|sidebar|side|signup|skip|social|sponsor\w*|subscribe|tags|toolbar|topbar|widgets?|complementary|contentinfo)(?:[_-]+(?:\d+|area|bar|block|box|container|content|inner|links?|list|menu|nav|section|widgets?|wrap|wrapper|posts|articles|stories|signup|slot|thread|left|right|buttons|bottom|top))*(?=$|\s)",
     re.I,
 )
 CONTENT = frozenset({"article", "main"})
-#: How a block is beside the content: not, by the name of a container, by its element.
-INSIDE, NAMED, OUTSIDE = 0, 1, 2
-#: Named containers are content where all else is less than this share of the text.
+#: How a block is beside the content, added up: not, by the name of a container, in a form, by its element.
+INSIDE, NAMED, FORMED, OUTSIDE = 0, 1, 2, 4
+#: Forms, then named containers are content where all else is less than this share of the text.
 LEFT_SHARE = 0.1
 PUNCTUATION = frozenset(".,;:!?。、，；：！？…")
 #: Share of the largest fused ratio from which a path is content, and blocks smoothed over.
@@ -144,9 +146,9 @@ def blocks(page: str) -> tuple[Paths, list[tuple[int, int, str]]]:
         off = name in BESIDE and not (name == "header" and any(count[c] for c in CONTENT))
         named = bool(label and name not in ("html", "body") and BESIDE_NAME.search(label))
         _, path, beside, _ = opened[-1] if opened else ("", 0, INSIDE, False)
-        if name in CONTENT and beside == NAMED and (name == "main" or not named):
+        if name in CONTENT and beside < OUTSIDE and (name == "main" or not named):
             beside = INSIDE
-        beside = max(beside, OUTSIDE if off else NAMED if named and name not in CONTENT else INSIDE)
+        beside |= (OUTSIDE if off else 0) | (NAMED if named and name not in CONTENT else 0) | (FORMED if name in FORMS else 0)
         opened.append((name, paths.below(path, name, label) if name in BLOCK else path, beside, name in HIDDEN))
         count[name] += 1
     flush()
@@ -156,9 +158,12 @@ def blocks(page: str) -> tuple[Paths, list[tuple[int, int, str]]]:
 def main_text(page: str) -> str:
     """Text of the article of a page, blocks joined by line breaks."""
     paths, found = blocks(page)
-    length = [sum(len(t) for _, beside, t in found if beside == how) for how in (INSIDE, NAMED)]
-    most = INSIDE if length[0] >= LEFT_SHARE * sum(length) else NAMED
-    found = [(p, t) for p, beside, t in found if beside <= most]
+    length = [sum(len(t) for _, beside, t in found if beside == how) for how in range(OUTSIDE)]
+    kept = {INSIDE}
+    for more in ({INSIDE, FORMED}, set(range(OUTSIDE))):
+        if sum(length[how] for how in kept) < LEFT_SHARE * sum(length[how] for how in more):
+            kept = more
+    found = [(p, t) for p, beside, t in found if beside in kept]
     if not found:
         return ""
     at = np.array([p for p, _ in found])
