@@ -514,6 +514,9 @@ def test_queries_have_the_contract_columns(spark):
         "op8_html": "page_id url text n_chars",
         "op9_quality": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
         "op10_toxicity": "doc_id held_out score predicted",
+        "op11_resample": "doc_id n_features weight score rank",
+        "op12_ahobpe": "doc_id n_tokens ids_sha256 decoded_sha256",
+        "op13_align": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     }
     assert set(want) == set(QUERIES)
     for name, columns in want.items():
