@@ -307,7 +307,7 @@ def test_balanced_json_is_a_slice(spark):
     assert got == {i: want for i, (_, want) in enumerate(cases)}
 
 
-def test_numbered_reads_twice_and_counts_every_row(spark):
+def test_numbered_counts_every_row(spark):
     from lathe.operators.ordered import numbered
 
     rows = spark.createDataFrame([(i % 7, -i) for i in range(1000)], "a int, b int").repartition(5)
