@@ -2,11 +2,10 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.html import attribute, first_tag, links, open_tags, page_text
-from ..functions.rx import as_col, grab, is_blank, strip
+from ..functions.html import attribute, contents, first_tag, inner_all, links, open_tags, page_text
+from ..functions.rx import as_col, grab, is_blank, strip, sub
 from ..functions.text import decode_entities, html_to_line, plain_words
 from ..functions.urls import host, resolve, with_scheme
-from ..functions.html import inner_all
 from .ordered import top_n
 from .report import keyword_pages, sorted_set
 
@@ -158,10 +157,33 @@ def keyword_found(text, keyword: str) -> Column:
     return hit
 
 
+def site_keywords(pages: DataFrame, site: str, order: str, url: str = "url", html: str = "html", keywords=SITE_KEYWORDS) -> DataFrame:
+    """N10 with G10: per site and keyword, Yes or No and the first page in ``order`` that has it, else "".
+
+    Columns ``<keyword>`` and ``<keyword> Source``. The text of a page is what it
+    shows without its title, cleaned. The hits of a task are combined before the
+    shuffle, so a site with most of the pages costs one row a task. Pages
+    without html have no keyword; a NULL site is a site of its own.
+    """
+    shown = sub(html, r"(?is)<title\b[^>]*>.*?</title\s*>", " ")
+    clean = pages.select(site, order, url, plain_words(page_text(shown)).alias("__text"))
+
+    def has(words):
+        hit = F.lit(False)
+        for w in words:
+            hit = hit | F.coalesce(F.col("__text").contains(w), F.lit(False))
+        return hit
+
+    flags = clean.select(site, order, url, *[has(words).alias(k) for k, words in keywords.items()])
+    found = keyword_pages(flags, site, order, url, keywords, last=False)
+    return found.withColumnsRenamed({f"{k}_found": k for k in keywords} | {f"{k}_source": f"{k} Source" for k in keywords})
+
+
 def address_candidates(html, shorter_than: int | None = None) -> Column:
     """Address elements, and texts of an element with a street word, those shorter than ``shorter_than`` if given."""
     own = F.transform(inner_all(html, "address"), html_to_line)
-    short = F.flatten(F.array(*[F.transform(inner_all(html, t), html_to_line) for t in ("p", "div", "span")]))
+    # Paragraphs hold no paragraphs; the others nest.
+    short = F.flatten(F.array(*[F.transform(found, html_to_line) for found in (inner_all(html, "p"), contents(html, "div"), contents(html, "span"))]))
     words = "|".join(w.replace(".", r"\.") for w in STREET_WORDS)
     short = F.filter(short, lambda x: x.rlike(words) & (F.length(x) < shorter_than if shorter_than else F.lit(True)))
     return F.array_distinct(F.filter(F.concat(own, short), lambda x: x != ""))

@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.html import links, page_text
+from ..functions.html import elements, links, page_text
 from ..operators import audit as N
 from ..operators.linkgraph import link_table, reachable
+from ..operators.report import sorted_set
 from ..plans.catalog import site_audit
 from ..sources import pages as P
 from .registry import query, table, texts
@@ -127,6 +128,77 @@ def _(spark, sf):
     return pages(spark, sf).select("page_id", F.array_join(N.address_candidates(html, shorter_than=200), ";").alias("spots"))
 
 
+def element_sql(name, source="pages"):
+    """(page_id, place, depth, content) of all elements of a name: depths are sums over tags, partners the next tag of a level."""
+    cut = rf"select page_id, string_split(regexp_replace(html, '(?i)(</?{name}[\s/>])', chr(1) || '\1', 'g'), chr(1)) as l from {source}"
+    each = f"select page_id, l, unnest(l) as piece, unnest(range(len(l))) as i from ({cut})"
+    steps = rf"select *, case when regexp_matches(piece, '^(?i)<{name}[\s/>]') then 1 when regexp_matches(piece, '^(?i)</{name}[\s/>]') then -1 else 0 end as step from ({each})"
+    depths = f"select *, sum(step) over (partition by page_id order by i) + case when step < 0 then 1 else 0 end as depth from ({steps})"
+    pairs = f"select *, lead(i) over (partition by page_id, depth order by i) as until, row_number() over (partition by page_id order by i) as place from ({depths}) where step <> 0"
+    return f"(select page_id, place::int as place, depth::int as depth, regexp_replace(array_to_string(l[i + 1:coalesce(until, len(l))], ''), '^<[^>]*>?', '') as content from ({pairs}) where step = 1)"
+
+
+def line_sql(source):
+    tagless = f"regexp_replace({source}, '<[^>]+>', ' ', 'g')"
+    return f"trim(regexp_replace({DECODE.format(tagless)}, '{BLANK}+', ' ', 'g'))"
+
+
+#: The page, its article in two more containers with an address in nested ones, and one container that is never closed.
+WRAPPED = """(select page_id, replace(replace(html, '<article>', '<div class="outer"><div><article>'), '</article>', '</article><div>12 Elm <div>Street</div> Suite 4</div></div></div><div>') as html from pages)"""
+
+
+def wrapped(spark, sf):
+    html = F.replace(F.col("html"), F.lit("<article>"), F.lit('<div class="outer"><div><article>'))
+    html = F.replace(html, F.lit("</article>"), F.lit("</article><div>12 Elm <div>Street</div> Suite 4</div></div></div><div>"))
+    return pages(spark, sf).select("page_id", html.alias("html"))
+
+
+@query("nested_elements", f"select page_id, 'div' as name, place, depth, md5(content) as digest from {element_sql('div', WRAPPED)} union all select page_id, 'li', place, depth, md5(content) from {element_sql('li', WRAPPED)}")
+def _(spark, sf):
+    def of(name):
+        each = wrapped(spark, sf).select("page_id", F.explode(elements("html", name)).alias("e"))
+        return each.select("page_id", F.lit(name).alias("name"), "e.place", "e.depth", F.md5(F.col("e.content").cast("binary")).alias("digest"))
+
+    return of("div").union(of("li"))
+
+
+STREET = "(" + " or ".join(f"contains(t, '{w}')" for w in N.STREET_WORDS) + ")"
+
+
+@query(
+    "page_addresses",
+    rf"""select page_id, string_agg(distinct t, ' ; ' order by t) as spots from (
+    select page_id, {line_sql("content")} as t from (select page_id, content from {element_sql('div', WRAPPED)} union all select page_id, content from {element_sql('span', WRAPPED)}
+    union all select page_id, unnest(regexp_extract_all(html, '(?is)<p\b[^>]*>(.*?)</p\s*>', 1)) from {WRAPPED})) where {STREET} and length(t) < 200 group by 1""",
+)
+def _(spark, sf):
+    spots = wrapped(spark, sf).select("page_id", F.explode(N.address_candidates("html", shorter_than=200)).alias("t"))
+    return sorted_set(spots, "page_id", "t", "spots", " ; ")
+
+
+@query("page_bullets", rf"select page_id, string_agg(t, ' | ' order by place) as bullets from (select page_id, place, {line_sql('content')} as t from {element_sql('li')}) where t <> '' and not regexp_matches(t, '^[^:]{{2,40}}:\s*.+$') group by 1")
+def _(spark, sf):
+    return pages(spark, sf).select("page_id", P.bullet_facts("html")["materials"].alias("bullets")).where("bullets is not null")
+
+
+SHOWN_TEXT = line_sql(CODE.replace("(html,", "(regexp_replace(html, '(?is)<title[^>]*>.*?</title>', ' ', 'g'),"))
+
+
+def finder_sql(text):
+    hits, columns = [], []
+    for i, (keyword, words) in enumerate(N.SITE_KEYWORDS.items()):
+        hits.append("(" + " or ".join(f"contains(c, '{w}')" for w in words) + f") as k{i}")
+        columns.append(f"case when bool_or(k{i}) then 'Yes' else 'No' end as \"{keyword}\", coalesce(arg_min(url, page_id) filter (k{i}), '') as \"{keyword} Source\"")
+    return f"select site, {', '.join(columns)} from (select site, url, page_id, {', '.join(hits)} from (select {HOST} as site, url, page_id, {CLEAN} as c from (select url, page_id, {text} as text from pages))) group by 1"
+
+
+@query("site_keyword_finder", finder_sql(SHOWN_TEXT))
+def _(spark, sf):
+    from ..functions.urls import host
+
+    return N.site_keywords(pages(spark, sf).withColumn("site", host("url")), "site", "page_id")
+
+
 @query(
     "site_keyword_search",
     f"""select site, case when bool_or(c) then 'Yes' else 'No' end as residential_found, coalesce(arg_max(case when c then url end, case when c then page_id end), '') as residential_source from

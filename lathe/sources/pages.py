@@ -4,7 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.html import attribute, clean, cut_at, first_tag, inner, inner_all, page_lines, without_code
+from ..functions.html import attribute, clean, contents, cut_at, first_tag, inner, inner_all, page_lines, without_code
 from ..functions.rx import as_col, blank_to_null, first_present, grab, grab_all, present, strip
 from ..functions.text import html_to_line, squeeze
 from ..functions.urls import absolute_image, first_srcset, resolve
@@ -183,7 +183,7 @@ def pair_table(pages: DataFrame, ids, html: str = "html") -> DataFrame:
 
 def two_cell_text(html) -> Column:
     """Rows with exactly two cells as "label: value" lines."""
-    rows = F.transform(inner_all(html, "tr"), lambda r: F.transform(inner_all(r, "td"), html_to_line))
+    rows = F.transform(contents(html, "tr"), lambda r: F.transform(inner_all(r, "td"), html_to_line))
     lines = F.transform(F.filter(rows, lambda c: F.size(c) == 2), lambda c: F.concat(c[0], F.lit(": "), c[1]))
     return blank_to_null(F.array_join(lines, "\n"))
 
@@ -214,7 +214,7 @@ def section_map(html, heading: str = "h[2-6]|summary|button") -> Column:
 
 def bullet_facts(html) -> dict[str, Column]:
     """N15: "Key: value" bullets (key of 2-40 characters) become extras, the rest materials."""
-    items = F.filter(F.transform(inner_all(html, "li"), html_to_line), lambda x: x != "")
+    items = F.filter(F.transform(contents(html, "li"), html_to_line), lambda x: x != "")
     keyed = r"^([^:]{2,40}):\s*(.+)$"
     pairs = F.transform(F.filter(items, lambda x: x.rlike(keyed)), lambda x: F.struct(F.initcap(F.trim(F.regexp_extract(x, keyed, 1))).alias("key"), F.trim(F.regexp_extract(x, keyed, 2)).alias("value")))
     rest = F.filter(items, lambda x: ~x.rlike(keyed))

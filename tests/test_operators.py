@@ -1,6 +1,7 @@
 """Operators against plain-Python answers, on data where one key holds a third of all rows."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -322,3 +323,70 @@ def test_routed_keeps_first_of_fixed_and_last_of_extras(spark):
     rows = [(1, " width ", "10", 1), (1, "WIDTH", "11", 2), (1, "Finish", "a", 3), (1, "finish", " b ", 4), (1, "seat", " ", 5), (1, None, "z", 6), (2, "Arm", "q", 1), (2, "Arm height", "r", 0)]
     got = routed(spark.createDataFrame(rows, "id int, key string, value string, at int"), "id", ["Width", "Depth"], "at").collect()
     assert {r["id"]: (r["Width"], r["Depth"], r["extras"]) for r in got} == {1: ("10", None, {"Finish": "b"}), 2: (None, None, {"Arm Height": "r", "Arm": "q"})}
+
+
+def brute_elements(html, name):
+    """(place, depth, content) by a stack; an element that is never closed runs to the end."""
+    found, stack, depth = [], {}, 0
+    tags = list(re.finditer(rf"(?i)<(/?){name}(?=[\s/>])[^>]*>", html))
+    for place, tag in enumerate(tags, 1):
+        if tag[1]:
+            at = stack.pop(depth, None)
+            if at is not None:
+                found[at][2] = html[found[at][3] : tag.start()]
+            depth -= 1
+        else:
+            depth += 1
+            stack[depth] = len(found)
+            found.append([place, depth, html[tag.end() :], tag.end()])
+    return [tuple(f[:3]) for f in found]
+
+
+def test_nested_elements_equal_a_stack(spark):
+    from lathe.functions.html import contents, elements
+
+    rng = random.Random(5)
+    parts = ["<div>", "<DIV class='a b'>", "</div>", "</div >", "<div\n>", "text ", "<p>x</p>", "<divider>", "<li>", "é"]
+    pages = ["", "plain", "<div>", "</div>", "<div><div>" * 50 + "x" + "</div></div>" * 50, "<div>y</div>" * 3000]
+    pages += ["".join(rng.choices(parts, k=rng.randint(1, 60))) for _ in range(150)]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(pages)] + [(-1, None)], "i int, h string")
+    got = {r["i"]: r for r in df.select("i", elements("h", "div").alias("e"), contents("h", "div", "class").alias("c")).collect()}
+    assert got[-1]["e"] is None
+    for i, h in enumerate(pages):
+        assert [tuple(e) for e in got[i]["e"]] == brute_elements(h, "div"), h
+        assert got[i]["c"] == [c for (_, _, c), t in zip(brute_elements(h, "div"), re.findall(r"(?i)<div(?=[\s/>])[^>]*>", h)) if "class" in t]
+
+
+def test_what_nests_is_found_whole(spark):
+    from lathe.functions.html import links
+    from lathe.operators.audit import address_candidates
+    from lathe.sources.pages import bullet_facts
+
+    html = (
+        "<div>Visit <div>us</div> at 4 Elm Street</div><noscript><a href='/n'>n</a></noscript><template><a href='/t'>t</a></template>"
+        "<script>'<a href=\"/s\">'</script><ul><li>Wood<ul><li>Finish: matte</li></ul></li></ul>" + "<div>" + "Avenue " * 40 + "</div>"
+    )
+    df = spark.createDataFrame([(html,)], "h string")
+    row = df.select(address_candidates("h").alias("all"), address_candidates("h", 200).alias("short"), links("h").alias("l"), bullet_facts("h")["extras"].alias("x"), bullet_facts("h")["materials"].alias("m")).first()
+    assert row["short"] == ["Visit us at 4 Elm Street"] and len(row["all"]) == 2
+    assert row["l"] == ["/n", "/t"]
+    assert row["x"] == {"Finish": "matte", "Wood Finish": "matte"} and row["m"] is None
+
+
+def test_site_keywords_take_the_first_page(spark):
+    from lathe.operators.audit import SITE_KEYWORDS, site_keywords
+
+    rows = [
+        ("a", 2, "u2", "<title>roofing</title><p>Pest <b>control</b>, HVAC!</p>"),
+        ("a", 1, "u1", "<p>Plumbers' services</p><script>hvac</script>"),
+        ("a", 3, "u3", "<li>hvac and carpet-cleaning</li>"),
+        ("b", 1, "v1", None),
+        (None, 1, "w1", "<p>Home service</p>"),
+    ]
+    out = {r["site"]: r for r in site_keywords(spark.createDataFrame(rows, "site string, page int, url string, html string"), "site", "page").collect()}
+    assert set(out) == {"a", "b", None} and len(out["a"]) == 1 + 2 * len(SITE_KEYWORDS)
+    told = {k: out["a"][f"{k} Source"] for k in SITE_KEYWORDS if out["a"][k] == "Yes"}
+    # Without its hyphen "carpet-cleaning" is one word, and "pet" is in it.
+    assert told == {"pest control": "u2", "HVAC": "u2", "plumbers": "u1", "PET": "u3"}
+    assert all(out["b"][k] == "No" and out["b"][f"{k} Source"] == "" for k in SITE_KEYWORDS)
+    assert out[None]["Home Services Source"] == "w1"
