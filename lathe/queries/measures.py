@@ -139,10 +139,11 @@ def measured(df, code: str):
     return numeric_fields(extract_dimensions(df, "spec", code), NUMERIC)
 
 
-def numeric_fields(df, fields, key: str = "p_partkey", dims: str = "dims"):
+def numeric_fields(df, fields, keys=("p_partkey",), dims: str = "dims"):
     """The fields as doubles; one function over an array instead of one per field."""
     raw = F.array(*[F.translate(F.col(f"{dims}.{f}"), '"', "") for f in fields])
-    return df.select(key, F.transform(raw, fraction_value).alias("v")).select(key, *[F.get("v", F.lit(i)).alias(f) for i, f in enumerate(fields)])
+    staged = df.select(*keys, F.transform(raw, fraction_value).alias("v"))
+    return staged.select(*[c for c in staged.columns if c != "v"], *[F.get("v", F.lit(i)).alias(f) for i, f in enumerate(fields)])
 
 
 def _register(code: str) -> None:
@@ -154,3 +155,46 @@ def _register(code: str) -> None:
 
 for _code in PACKS:
     _register(_code)
+
+
+# --- all grammars in one table ----------------------------------------------
+
+#: Pairs of part keys take turns through the grammars, an unknown one and none.
+PLACE, CODES = "cast(floor(p_partkey / 2) as int) % 58", [*PACKS, "?", None]
+#: What two grammars are given beyond their fields, and how they keep it.
+LEFT_OVER = {
+    "BD": ("\nCanopy | W: {aw} | H: 5\nCord | {wt}\nSeat | Q: 9\nOverall | Q: 3", f"concat('Canopy H=5;Canopy W=', {shown('aw')}, ';Cord=', {shown('wt')})"),
+    "DWR": ("\nCord Length (max): {wt} in\nBulb: none\nWeight Capacity: {sh}", f"concat('Bulb=none;Cord Length=', {shown('wt')}, ';Weight Capacity=', {shown('sh')})"),
+}
+
+
+def routed_sql() -> str:
+    each = []
+    for i, code in enumerate(CODES):
+        here = f"{PLACE} = {i}"
+        if code in FORMS:
+            kept = LEFT_OVER[code][1].replace("as string", "as varchar") if code in LEFT_OVER else "null"
+            # A seat line stands in every other text of the first grammar, so the second one there is not read.
+            kept = f"case when p_partkey % 2 = 0 then {kept} else concat({kept}, ';Seat Q=9') end" if code == "BD" else kept
+            each.append(f"select p.*, '{code}' as pack, cast(k.extras as varchar) as extras from ({oracle(FORMS[code])} where {here}) p join (select p_partkey as k, {kept} as extras from part) k on k = p_partkey")
+        else:
+            nothing = ", ".join(f"cast(null as double) as {f}" for f in NUMERIC)
+            each.append(f"select p_partkey, {nothing}, {'null' if code is None else repr(code)} as pack, null as extras from part where {here}")
+    return " union all ".join(each)
+
+
+@query("dims_all_grammars", routed_sql())
+def _(spark, sf):
+    from ..spec.router import route_grammars
+
+    parts = texts(spark, sf, "part").select("p_partkey", "p_size", F.expr(PLACE).alias("place"))
+    spec, code = F.lit("W: 3"), F.lit(None).cast("string")
+    for i, c in enumerate(CODES):
+        if c is not None:
+            code = F.when(F.col("place") == i, c).otherwise(code)
+        if c in FORMS:
+            even, odd = (text_column(t + LEFT_OVER.get(c, ("",))[0]) for t, _ in FORMS[c])
+            spec = F.when(F.col("place") == i, F.when(F.col("p_partkey") % 2 == 0, even).otherwise(odd)).otherwise(spec)
+    read = route_grammars(parts.select("p_partkey", code.alias("pack"), spec.alias("spec")), "spec", "pack")
+    left = F.array_join(F.array_sort(F.transform(F.map_entries("extras"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+    return numeric_fields(read.withColumn("left", left), NUMERIC, ["p_partkey", "pack", F.col("left").alias("extras")])

@@ -390,3 +390,22 @@ def test_site_keywords_take_the_first_page(spark):
     assert told == {"pest control": "u2", "HVAC": "u2", "plumbers": "u1", "PET": "u3"}
     assert all(out["b"][k] == "No" and out["b"][f"{k} Source"] == "" for k in SITE_KEYWORDS)
     assert out[None]["Home Services Source"] == "w1"
+
+
+def test_grammars_read_their_own_rows_and_keep_what_they_do_not_know(spark):
+    from lathe.spec.router import route_grammars
+
+    bd = "Overall | W: 10 | Q: 4\nCanopy | H: 5\nCanopy | H: 6\nCord | 72"
+    dwr = "Height (max): 30\nCord Length: 12\nCord Length: 13½\nBulb: none\nWidth: 9"
+    rows = [(i, "EI", f'{i}"W', "x") for i in range(40)] + [(100, "BD", bd, "x"), (101, "DWR", dwr, "x"), (102, "?", "W: 1", "x"), (103, None, "W: 1", "x"), (104, "BD", None, "x"), (105, "DWR", "", "x"), (106, "", "W: 1", "x")]
+    df = spark.createDataFrame(rows, "k int, pack string, spec string, extras string")
+    out = {r["k"]: r for r in route_grammars(df, "spec", "pack").collect()}
+    assert len(out) == len(rows) and out[0].__fields__ == ["k", "pack", "spec", "dims", "extras"]
+    alone = {r["k"]: r["dims"] for r in extract_dimensions(df.where("pack = 'EI'"), "spec", "EI").collect()}
+    assert all(out[k]["dims"] == alone[k] and out[k]["extras"] is None for k in range(40))
+    assert out[100]["dims"]["width"] == "10" and out[100]["extras"] == {"Overall Q": "4", "Canopy H": "5", "Cord": "72"}
+    assert out[101]["dims"]["height"] == "30" and out[101]["dims"]["width"] == "9"
+    assert out[101]["extras"] == {"Cord Length": "13.5", "Bulb": "none"}
+    assert all(out[k]["dims"] is None and out[k]["extras"] is None for k in (102, 103, 106))
+    assert out[104]["extras"] is None and out[105]["extras"] == {}
+    assert route_grammars(df.limit(0), "spec", "pack", ["EI"]).count() == 0
