@@ -165,6 +165,43 @@ def _(spark, sf):
     return data.join(meta, F.col("Category") == F.col("sheet")).select(F.col("Index").cast("bigint").alias("s_suppkey"), F.col("Category").alias("sheet_name"), q("Product Name").alias("name"))
 
 
+NOTE_SQL = "concat(o_custkey, chr(10), 'said \"', o_orderstatus, '\", ', chr(10), chr(10), o_orderkey)"
+
+
+@query("sheet_files", f"select o_orderpriority as sheet, o_orderkey, {NOTE_SQL} as note, case when o_orderkey % 3 = 0 then null else 'c' || o_custkey end as clerk from orders")
+def _(spark, sf):
+    """Every order through CSV sheets, one folder a priority, whose cells hold line breaks, quotes and commas."""
+    o = table(spark, sf, "orders")
+    note = F.concat(S("o_custkey"), F.lit('\nsaid "'), "o_orderstatus", F.lit('", \n\n'), S("o_orderkey"))
+    sheets = o.select("o_orderpriority", S("o_orderkey").alias("Order Key"), note.alias("Note"), F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("c"), S("o_custkey"))).alias("Clerk"))
+    path = fresh_dir(spark, "sheets")
+    sheets.write.partitionBy("o_orderpriority").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    back = A.read_sheets(spark, path, ["Clerk", "Order Key", "Note"], key="o_orderpriority")
+    return back.select(F.col("Category").alias("sheet"), q("Order Key").cast("bigint").alias("o_orderkey"), F.col("Note").alias("note"), F.nullif("Clerk", F.lit("")).alias("clerk"))
+
+
+@query(
+    "banner_sheet_files",
+    """select n_name as sheet, s_suppkey, s_name || chr(10) || n_name as name, 'Acme' as brand,
+    'https://x.example/' || n_nationkey || chr(10) || 'https://y.example/' || n_nationkey as link, 4 + row_number() over (partition by n_name order by s_suppkey) as line_no
+    from supplier join nation on s_nationkey = n_nationkey""",
+)
+def _(spark, sf):
+    """One file a nation with brand and links above the header; links and names go over two lines."""
+    n = table(spark, sf, "nation")
+    key = S("n_nationkey")
+    links = F.concat(F.lit('Link,"https://x.example/'), key, F.lit("\nhttps://y.example/"), key, F.lit('"'))
+    top = n.select("n_name", F.posexplode(F.array(F.lit("Brand,Acme"), links, F.lit(""), F.lit("Index,Product URL,Product Name"))).alias("ord", "line"))
+    s = table(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    row = F.concat(S("s_suppkey"), F.lit(",https://x.example/p/"), S("s_suppkey"), F.lit(',"'), "s_name", F.lit("\n"), "n_name", F.lit('"'))
+    body = s.select("n_name", (F.col("s_suppkey") + 4).alias("ord"), row.alias("line"))
+    path = fresh_dir(spark, "banners")
+    top.unionByName(body).repartition("n_name").sortWithinPartitions("n_name", "ord").select("n_name", "line").write.partitionBy("n_name").text(path)
+    lines = A.number_lines(spark, path, "n_name")
+    data = A.banner_rows(lines, 4, ["Index", "Product URL", "Product Name"])
+    return data.join(A.banner_meta(lines), F.col("Category") == F.col("sheet")).select("sheet", F.col("Index").cast("bigint").alias("s_suppkey"), q("Product Name").alias("name"), "brand", "link", "line_no")
+
+
 # --- sinks ----------------------------------------------------------------
 
 

@@ -1,6 +1,10 @@
 """Landed tables, sheets, batch files, collections and configuration."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numbers import price_two_places
 from ..functions.rx import as_col, blank_to_null, first_present, present
@@ -8,17 +12,13 @@ from ..functions.text import html_to_text
 from ..functions.urls import valid_url
 from ..operators.ordered import top_n
 from ..operators.projection import to_raw
+from ..session import stored
 from ..spec.lines import sheet_attributes
 
 
 def read_flat(spark: SparkSession, path: str, fmt: str = "parquet", columns=None) -> DataFrame:
-    """A1: header row 1, all text, null rule applied."""
-    if fmt == "csv":
-        schema = ", ".join(f"`{c}` string" for c in columns) if columns else None
-        reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-        df = reader.csv(path, schema=schema) if schema else reader.csv(path)
-    else:
-        df = spark.read.format(fmt).load(path)
+    """A1: header row 1, all text, null rule applied. CSV cells may hold line breaks; see ``sheet_table``."""
+    df = sheet_table(spark, path, 1, columns).drop("Category") if fmt == "csv" else spark.read.format(fmt).load(path)
     return to_raw(df)
 
 
@@ -28,11 +28,9 @@ def read_batches(spark: SparkSession, folder: str, pattern: str = "batch_*.parqu
     return df.withColumn("source_file", F.col("_metadata.file_name"))
 
 
-def read_sheets(spark: SparkSession, folder: str, columns=None) -> DataFrame:
-    """A3: one CSV per sheet; the file name is the category."""
-    reader = spark.read.option("header", True).option("escape", '"')
-    df = reader.csv(folder, schema=", ".join(f"`{c}` string" for c in columns)) if columns else reader.csv(folder)
-    return df.withColumn("Category", F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", ""))
+def read_sheets(spark: SparkSession, folder: str, columns=None, key: str | None = None) -> DataFrame:
+    """A3: the rows of all CSV sheets; the file name (or the folder ``key=...``) is the category."""
+    return sheet_table(spark, folder, 1, columns, key)
 
 
 def union_sheets(sheets: dict[str, DataFrame], category: str = "Category") -> DataFrame:
@@ -42,21 +40,114 @@ def union_sheets(sheets: dict[str, DataFrame], category: str = "Category") -> Da
     return union_all([df.withColumn(category, F.lit(name)) for name, df in sheets.items()])
 
 
-def number_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """A2 landing: (sheet, line_no, line) of exported sheets.
+def _quote_scan(batches):
+    """Adds to (path, block, quotes, ...) each line's place in its block, whether a quote stands open
+    before it, and the records begun so far if the block began outside or inside a cell.
+
+    A block is one split of a file, and a task sees its lines in order.
+    """
+    last, place, quotes, outside, inside = None, 0, 0, 0, 0
+    for batch in batches:
+        path, block, held = batch.column(0), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        code = path.dictionary_encode().indices.to_numpy()
+        new = np.flatnonzero((np.diff(code) != 0) | (np.diff(block) != 0)) + 1
+        found = []
+        for start, end in pairwise([0, *new.tolist(), batch.num_rows]):
+            if start == end:
+                continue
+            if (path[start].as_py(), block[start]) != last:
+                last, place, quotes, outside, inside = (path[start].as_py(), block[start]), 0, 0, 0, 0
+            count = held[start:end]
+            is_open = (quotes + np.cumsum(count) - count) & 1
+            begun_inside = inside + np.cumsum(is_open)
+            begun_outside = outside + np.cumsum(1 - is_open)
+            found.append((place + np.arange(end - start), is_open, begun_outside, begun_inside))
+            place, quotes, outside, inside = place + end - start, quotes + int(count.sum()), int(begun_outside[-1]), int(begun_inside[-1])
+        added = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * 4
+        yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "place", "open", "outside", "inside"])
+
+
+def _scanned(lines: DataFrame) -> DataFrame:
+    known = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema)
+    return lines.mapInArrow(_quote_scan, f"{known}, place bigint, open bigint, outside bigint, inside bigint")
+
+
+def sheet_records(spark: SparkSession, folder: str) -> DataFrame:
+    """A1-A3 landing: (path, line_no, line), one row per CSV record, numbered from 1 in its file.
+
+    A record may go over several lines: a line break between an odd and an
+    even quote belongs to its cell. Files are read in splits, so one large file
+    is many tasks. A split does not know whether it begins inside a cell; it
+    counts its quotes and the records begun under either assumption, and sums
+    over the splits before it, one row each, tell which one holds. Only
+    records of several lines are shuffled. Line breaks are kept as they
+    are in cells; a byte order mark goes. Empty lines are records; an empty
+    file has none. A quote that is never closed makes the rest of its file
+    one record, as it does for any CSV reader.
+    """
+    text = spark.read.option("lineSep", "\n").text(folder)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), quotes.cast("bigint").alias("quotes"), F.col("value").alias("line"))
+    totals = _scanned(lines.drop("line")).groupBy("path", "block").agg(F.sum("quotes").alias("quotes"), F.max("outside").alias("outside"), F.max("inside").alias("inside"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    began = totals.withColumn("began", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    began = began.withColumn("records", F.when(F.col("began") == 0, F.col("outside")).otherwise(F.col("inside")))
+    began = stored(began.select("path", "block", "began", F.coalesce(F.sum("records").over(before), F.lit(0)).alias("records")), "splits")
+    each = _scanned(lines).join(began, ["path", "block"])
+    each = each.withColumn("line_no", F.col("records") + F.when(F.col("began") == 0, F.col("outside")).otherwise(F.col("inside")))
+    starts, odd = F.col("open") == F.col("began"), F.col("quotes") % 2 == 1
+    whole = each.filter(starts & ~odd).select("path", "line_no", "line")
+    parts = each.filter(~(starts & ~odd)).groupBy("path", "line_no").agg(F.sort_array(F.collect_list(F.struct("block", "place", "line"))).alias("parts"))
+    joined = parts.select("path", "line_no", F.array_join("parts.line", "\n").alias("line"))
+    clean = F.regexp_replace(F.when(F.col("line_no") == 1, F.regexp_replace("line", "^\ufeff", "")).otherwise(F.col("line")), r"\r$", "")
+    return whole.unionByName(joined).withColumn("line", clean)
+
+
+def sheet_of(path, key: str | None = None) -> Column:
+    """Sheet of a file: its name without ``.csv``, or the value of the folder ``key=...``."""
+    at = F.regexp_extract(path, r"([^/]*?)(?:\.csv)?$", 1) if key is None else F.regexp_extract(path, f"/{key}=([^/]*)/", 1)
+    return F.url_decode(F.replace(at, F.lit("+"), F.lit("%2B")))
+
 
-    One file is one sheet, which its format bounds to about a million rows;
-    files spread over tasks.
+def number_lines(spark: SparkSession, folder: str, key: str | None = None) -> DataFrame:
+    """A2 landing: (sheet, line_no, line) of exported sheets; a line is a sheet's row, whatever line breaks its cells hold."""
+    return sheet_records(spark, folder).select(sheet_of("path", key).alias("sheet"), "line_no", "line")
+
+
+def _cells(line, names) -> Column:
+    return F.from_csv(line, _ddl(names), {"escape": '"', "maxCharsPerColumn": "-1"})
+
+
+def sheet_table(spark: SparkSession, folder: str, header_row: int = 1, columns=None, key: str | None = None) -> DataFrame:
+    """A1/A3: rows below each file's own header, cells found by name, all text.
+
+    ``columns`` are the names to read (default: all names of all headers, in
+    order of place, then name); one that a file lacks is NULL there, of
+    a name that stands twice the first counts. Empty lines go.
     """
-    whole = spark.read.text(folder, wholetext=True)
-    lines = whole.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "").alias("sheet"), F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line"))
-    return lines.select("sheet", (F.col("pos") + 1).cast("bigint").alias("line_no"), "line")
+    records = sheet_records(spark, folder)
+    heads = records.filter(F.col("line_no") == header_row)
+    width = heads.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
+    places = [f"c{i}" for i in range(width)]
+    names = F.transform(F.array(*[F.col(f"r.{p}") for p in places]), lambda c: F.trim(c))
+    heads = stored(heads.select("path", _cells("line", places).alias("r")).select("path", names.alias("names")), "headers")
+    if columns is None:
+        found = heads.select(F.posexplode("names").alias("pos", "name")).filter("name <> ''").groupBy("name").agg(F.min("pos").alias("pos"))
+        columns = [r["name"] for r in found.orderBy("pos", "name").collect()]
+    body = records.filter((F.col("line_no") > header_row) & (F.col("line") != "")).select("path", _cells("line", places).alias("r"))
+    body = body.join(heads, "path").withColumn("cells", F.array(*[F.col(f"r.{p}") for p in places]))
+    each = [F.expr("get(cells, cast(array_position(names, {}) - 1 as int))".format(_text(c))).alias(c) for c in columns]
+    return body.select(*each, sheet_of("path", key).alias("Category"))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def banner_rows(lines: DataFrame, header_row: int, columns, url: str = "Product URL") -> DataFrame:
     """A2: data rows below the banner; blank rows and rows without a URL go."""
     body = lines.filter((F.col("line_no") > header_row) & ~F.col("line").rlike(r"^[\s,]*$"))
-    rows = body.select("sheet", "line_no", F.from_csv("line", _ddl(columns)).alias("r")).select("sheet", "line_no", "r.*")
+    rows = body.select("sheet", "line_no", _cells("line", columns).alias("r")).select("sheet", "line_no", "r.*")
     rows = rows.select(F.col("sheet").alias("Category"), "line_no", *[present(f"`{c}`").alias(c) for c in columns])
     return rows.filter(valid_url(f"`{url}`"))
 
@@ -67,7 +158,7 @@ def _ddl(columns) -> str:
 
 def banner_meta(lines: DataFrame) -> DataFrame:
     """Brand and links of each sheet, from the cells B1 and B2."""
-    cells = lines.filter(F.col("line_no") <= 2).select("sheet", "line_no", F.from_csv("line", "`a` string, `b` string").alias("r"))
+    cells = lines.filter(F.col("line_no") <= 2).select("sheet", "line_no", _cells("line", ["a", "b"]).alias("r"))
     return cells.groupBy("sheet").agg(F.min_by(F.when(F.col("line_no") == 1, F.col("r.b")), F.when(F.col("line_no") == 1, 1)).alias("brand"), F.min_by(F.when(F.col("line_no") == 2, F.col("r.b")), F.when(F.col("line_no") == 2, 1)).alias("link"))
 
 

@@ -32,6 +32,47 @@ def test_banner_sheets(spark, tmp_path):
     assert {(r["sheet"], r["brand"], r["link"]) for r in A.banner_meta(lines).collect()} == {("Rugs", "Acme", "https://a, https://b"), ("Beds", "Acme", "https://c")}
 
 
+def test_line_breaks_stay_in_their_cells(spark, tmp_path):
+    """One file in many tasks against Python's own CSV reader."""
+    import csv
+    import random
+
+    draw = random.Random(7)
+    piece = ["a", ",", '"', "\n", "\r\n", " ", "é", "x" * 40]
+    rows = [["Key", "Note", "More"]] + [[str(i), "".join(draw.choices(piece, k=draw.randint(0, 9))), draw.choice(["", "m"])] for i in range(1, 3000)]
+    for name in ("One, two.csv", "Three.csv"):
+        with open(tmp_path / name, "w", newline="", encoding="utf-8-sig") as f:
+            csv.writer(f).writerows(rows)
+    (tmp_path / "Empty.csv").write_text("")
+    (tmp_path / "Other.csv").write_text("More,Key,Last\nm,7,z\n\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        records = A.number_lines(spark, str(tmp_path))
+        assert records.rdd.getNumPartitions() > 20
+        numbered = records.filter("sheet = 'Three'").select("line_no").collect()
+        assert sorted(r[0] for r in numbered) == list(range(1, 3001))
+        got = A.read_sheets(spark, str(tmp_path))
+        assert got.columns == ["Key", "More", "Note", "Last", "Category"]
+        got = got.fillna("").collect()
+        for sheet in ("One, two", "Three"):
+            same = sorted((int(r["Key"]), r["Note"], r["More"]) for r in got if r["Category"] == sheet)
+            assert same == [(int(k), n, m) for k, n, m in rows[1:]]
+        assert [(r["Key"], r["More"], r["Note"], r["Last"]) for r in got if r["Category"] == "Other"] == [("7", "m", "", "z")]
+        assert not [r for r in got if r["Category"] == "Empty"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_banner_links_may_stand_on_lines_of_their_own(spark, tmp_path):
+    (tmp_path / "Rugs.csv").write_text('Brand,Acme\nLink,"https://a\nhttps://b"\n\nIndex,Product URL,Product Name\n1,https://a/1,"Red ""wide""\nrug"\n')
+    lines = A.number_lines(spark, str(tmp_path))
+    row = A.banner_rows(lines, 4, ["Index", "Product URL", "Product Name"]).collect()[0]
+    assert (row["line_no"], row["Product Name"]) == (5, 'Red "wide"\nrug')
+    assert A.banner_meta(lines).collect()[0]["link"] == "https://a\nhttps://b"
+
+
 def test_sheets_stamp_their_category(spark, tmp_path):
     (tmp_path / "Rugs.csv").write_text("Product URL\nhttps://a/1\n")
     (tmp_path / "Beds.csv").write_text("Product URL\nhttps://c/1\n")
