@@ -192,8 +192,15 @@ def sort_nulls_last(df: DataFrame, *cols: str) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])
 
 
-def sort_by_category(df: DataFrame, category_dim: DataFrame, category: str, order: str) -> DataFrame:
-    """Configured category order, then source order."""
+def sort_by_category(df: DataFrame, category_dim: DataFrame, category: str, order: str, serial: str | None = None) -> DataFrame:
+    """Configured category order, then source order; categories that are not configured come last.
+
+    ``serial`` names a column for the row's gap-free number in this order; then
+    ``order`` must tell rows apart.
+    """
     dim = category_dim.select(F.col("category").alias("__c"), F.col("ord").alias("__cat_ord"))
-    joined = df.join(dim, F.col(category) == F.col("__c"), "left")
-    return joined.orderBy(F.col("__cat_ord").asc_nulls_last(), F.col(order)).drop("__c", "__cat_ord")
+    joined = df.join(dim, F.col(category) == F.col("__c"), "left").drop("__c")
+    if serial:
+        placed = F.coalesce("__cat_ord", F.lit((1 << 31) - 1))
+        return numbered(joined.withColumn("__cat_ord", placed), ["__cat_ord", order], serial).drop("__cat_ord")
+    return joined.orderBy(F.col("__cat_ord").asc_nulls_last(), F.col(order)).drop("__cat_ord")

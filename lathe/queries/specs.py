@@ -62,6 +62,16 @@ def _(spark, sf):
     return wide.select("p_partkey", F.col("Width").alias("width"), F.col("`Seat Height`").alias("seat_height"), F.col("Depth").alias("depth"), F.col("Weight").alias("weight"))
 
 
+@query("table_standard_attributes", """select p_partkey, p_size::varchar as width, concat(p_size + 1, ' in') as seat_height, null::varchar as depth, p_type as weight, '' as height from part""")
+def _(spark, sf):
+    html = text(
+        "<table><tr><th>W</th><td>99</td></tr><tr><td> Width </td><td><b>{size}</b></td><td>{key}</td></tr>"
+        "<tr><td>SH</td><td>{next}&nbsp;in</td></tr><tr><td>Depth</td></tr><tr><td>WT</td><td>{type}</td></tr><tr><td>H</td><td></td></tr><tr><td>Other</td><td>x</td></tr></table>"
+    )
+    wide = L.table_attributes(parts(spark, sf).withColumn("html", html), "p_partkey", "html")
+    return wide.select("p_partkey", F.col("Width").alias("width"), F.col("`Seat Height`").alias("seat_height"), F.col("Depth").alias("depth"), F.col("Weight").alias("weight"), F.col("Height").alias("height"))
+
+
 @query("section_split", "select p_partkey, concat(p_name, chr(10), p_type) as finish, p_size::varchar as lamping, null::varchar as notes, concat('late ', p_brand) as mounting from part")
 def _(spark, sf):
     s = L.sections(text("intro\nFinish: {name}\n{type}\nLamping\n{size}\nMounting: first\nMOUNTING\nlate {brand}\n"), ["Finish", "Lamping", "Notes", "Mounting"])
@@ -204,7 +214,7 @@ attr_query(
 
 attr_query(
     "canopy_base_height",
-    """p_size::varchar as canopy, (p_size + 1)::varchar as backplate, p_size::varchar as marked, concat('5/8", ', p_size, '" Ø') as parts, p_size::varchar as plate, p_size::varchar as height_now, (p_size + 1)::varchar as height_min, '99' as height_overall, p_size::varchar as oah, concat('Base: ', p_size, '"') as base""",
+    """p_size::varchar as canopy, (p_size + 1)::varchar as backplate, p_size::varchar as marked, concat('5/8", ', p_size, '" Ø') as parts, p_size::varchar as plate, p_size::varchar as height_now, (p_size + 1)::varchar as height_min, '99' as height_overall, p_size::varchar as oah, concat('Base: ', p_size, '"') as base, concat_ws(', ', p_size, p_size + 1) as dia_height, (p_size + 1)::varchar as dia_only""",
     lambda: {
         "canopy": A.line_number(text("x\nCanopy: {size} in"), "canopy"),
         "backplate": A.line_number(text("Backplate: {next} in"), "backplate"),
@@ -215,6 +225,8 @@ attr_query(
         "height_min": A.height_precedence(text("Minimum Height: {next}"), F.lit("99")),
         "height_overall": A.height_precedence(text("Height: {next}"), F.lit("99")),
         "oah": A.overall_height(text("lamp {size} oah")),
+        "dia_height": A.canopy_dia_height(text("DIA: 9 | CANOPY DIA: {size} | Canopy H: {next} | H: 3")),
+        "dia_only": A.canopy_dia_height(text("H: 3 | CANOPY  DIA: {next} | W: 8")),
         "base": A.base_block(text('H 9 | Base: {size}"'), F.lit("")),
     },
 )

@@ -390,6 +390,11 @@ def canopy_diameter(c) -> Column:
     return F.trim(F.replace(F.coalesce(*[grab(c, rf"(?im){k}\s*:\s*([^\n|]+)") for k in keys]), F.lit('"'), F.lit("")))
 
 
+def canopy_dia_height(c) -> Column:
+    """K73: "CANOPY DIA:" and "CANOPY H:" of a text in capitals, joined; a part that is not there is left out."""
+    return blank_to_null(F.concat_ws(", ", *[grab(c, rf"(?i)CANOPY\s*{p}:\s*([\d\-.]+)") for p in ("DIA", "H")]))
+
+
 def height_precedence(c, overall) -> Column:
     """Current, else minimum, else overall height."""
     return F.coalesce(line_number(c, r"current\s+height"), line_number(c, r"min(?:imum)?\s+height"), as_col(overall))

@@ -7,8 +7,9 @@ no fold, and the whole text is read.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.html import contents
 from ..functions.rx import as_col, blank_to_null, grab, like, lines_of, strip
-from ..functions.text import drop_tags, squeeze, unwrap_quoted
+from ..functions.text import drop_tags, html_to_line, squeeze, unwrap_quoted
 from ..operators.filters import looks_feet, looks_inch
 from ..operators.projection import widen
 
@@ -141,6 +142,14 @@ def standard_attributes(long: DataFrame, ids) -> DataFrame:
     return widen(mapped, ids, "__t", "value", list(STANDARD_FIELDS), "pos", last=True)
 
 
+def table_attributes(pages: DataFrame, ids, html: str) -> DataFrame:
+    """K62 for tables: the first two cells of each row are label and value; rows of one cell go, an empty value counts."""
+    ids = [ids] if isinstance(ids, str) else list(ids)
+    rows = F.transform(contents(html, "tr"), lambda r: F.transform(contents(r, "(?:td|th)"), lambda c: squeeze(html_to_line(c))))
+    pairs = F.transform(F.filter(rows, lambda c: F.size(c) >= 2), lambda c: F.struct(c[0].alias("label"), c[1].alias("value")))
+    return standard_attributes(pages.select(*ids, F.posexplode(pairs).alias("pos", "p")).select(*ids, "pos", "p.label", "p.value"), ids)
+
+
 def marked_blocks(c, mark: str) -> Column:
     """Array of (name, body): the text cut where ``mark`` matches; group 1 is the name."""
     cut = F.regexp_replace(as_col(c), mark, START + "$1" + BODY)

@@ -160,7 +160,8 @@ def _(r):
     r.take("depth", num + "(?:D(?!IAM)|DEPTH)")
     r.take("height", num + "H")
     r.take("diameter", num + "DIA")
-    r.take("length", num + "L", r"(?i)L(?:ENGTH)?[:\s]+(\d+\.?\d*)")
+    # "35 lbs" is a weight: the surveyed rule reads lengths from the dimension field alone, where no weight stands.
+    r.take("length", num + r"L(?!BS?\b)", r"(?i)\bL(?:ENGTH)?[:\s]+(\d+\.?\d*)")
 
 
 @pack("UM")

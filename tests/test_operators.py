@@ -409,3 +409,20 @@ def test_grammars_read_their_own_rows_and_keep_what_they_do_not_know(spark):
     assert all(out[k]["dims"] is None and out[k]["extras"] is None for k in (102, 103, 106))
     assert out[104]["extras"] is None and out[105]["extras"] == {}
     assert route_grammars(df.limit(0), "spec", "pack", ["EI"]).count() == 0
+
+
+def test_card_layouts(spark):
+    """Cards inside cards, classes that only begin alike, missing parts, NULL and empty pages; columns with clashing names."""
+    from lathe.sources import cards as K
+
+    wide = K.CardLayout((K.Step("div", "card"), K.Step("li")), (K.Pick((K.Step("a"),), ("data-to", "href")),), (K.Pick((K.Step("img", "pic"),), ("src",)),), (K.Pick((K.Step("div", "t"), K.Step("b"))),))
+    pages = [
+        (1, '<div class="card-deck"><div class="a card"><div class=t>x<b>One</b></div><a href="/1">a</a><div class="card"><a href="/2" data-to="/3">b</a></div></div></div>'),
+        (2, "<ul><li><a href='/4'>c</a><li>no link</li></ul>"),
+        (3, ""),
+        (4, None),
+    ]
+    df = spark.createDataFrame([(i, "https://s.example/", "kept", h) for i, h in pages], "page_id int, url string, pos_of string, html string")
+    got = sorted(tuple(r) for r in K.laid_out_cards(df, wide).select("page_id", "pos", "card_url", "card_name", "card_sku", "card_image", "pos_of").collect())
+    s = "https://s.example"
+    assert got == [(1, 0, f"{s}/1", "One", None, None, "kept"), (1, 1, f"{s}/3", None, None, None, "kept"), (2, 0, f"{s}/4", None, None, None, "kept")]
