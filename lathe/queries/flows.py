@@ -272,6 +272,17 @@ def _(spark, sf):
     return spark.read.schema("url string").parquet(f"{out}/rows")
 
 
+@query("stream_discovered_table", "select distinct lower(event_type) || '/' || user_id as url from events union select distinct 'seed/' || lower(event_type) from events")
+def _(spark, sf):
+    """Two runs with checkpoints of their own over one table; the second sees all of it again in another case."""
+    out = fresh_dir(spark, "stream")
+    e = event_stream(spark, sf).withColumn("url", F.concat_ws("/", "event_type", S("user_id")))
+    seeds = e.select(F.concat(F.lit("Seed/"), "event_type").alias("url"))
+    for run, found in enumerate((e.filter("event_id % 3 > 0").select("url"), e.select(F.upper("url").alias("url")))):
+        M.discovered_stream(seeds, found, "url", f"{out}/rows", f"{out}/state{run}").awaitTermination()
+    return spark.read.schema("url string").parquet(f"{out}/rows")
+
+
 RETRY = "select user_id, count(*) as attempts from events group by 1 having max(case when event_type = 'purchase' and value > 95 then 1 else 0 end) = 0 and count(*) < 80"
 
 

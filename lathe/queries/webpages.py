@@ -329,14 +329,45 @@ REACHABLE = """with recursive
  select site, url, min(depth) as depth from reach group by 1, 2"""
 
 
-@query("link_reachability", REACHABLE)
-def _(spark, sf):
+def site_links(spark, sf):
+    """Seeds and edges of the landed pages; a site's root also leads to its pages, by id."""
     p = pages(spark, sf)
     edges = link_table(p)
     seeds = p.select(F.regexp_extract("url", "^([a-z]+://[^/?#]*)", 1).alias("url")).distinct()
     home = seeds.select(F.col("url").alias("src"), F.lit(0).alias("pos"))
     inside = p.select(F.regexp_extract("url", "^([a-z]+://[^/?#]*)", 1).alias("src"), F.col("page_id").cast("int").alias("pos"), F.rtrim(F.substring_index("url", "#", 1), F.lit("/")).alias("dst"))
-    return reachable(seeds, edges.unionByName(inside.join(home.select("src"), "src", "left_semi")), max_depth=4).select("site", "url", "depth")
+    return seeds, edges.unionByName(inside.join(home.select("src"), "src", "left_semi"))
+
+
+@query("link_reachability", REACHABLE)
+def _(spark, sf):
+    seeds, edges = site_links(spark, sf)
+    return reachable(seeds, edges, max_depth=4).select("site", "url", "depth")
+
+
+def ranked_levels(depth: int, most: int) -> str:
+    """Each level from the ones before it; a row has its rank in its site, by its parent's rank and the link's place."""
+    parts = [
+        """with p as (select page_id, rtrim(split_part(url, '#', 1), '/') as u, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) as o, html from pages),
+ found as (select u, o, regexp_extract_all(html, '<a href="([^"]+)"', 1) as hs from p),
+ hrefs as (select u, o, unnest(hs) as h, generate_subscripts(hs, 1) - 1 as pos from found),
+ edges as (select u as src, pos, o || rtrim(h, '/') as dst from hrefs where starts_with(h, '/') union all select o, page_id, u from p),
+ l0 as (select distinct o as site, o as url, 0 as depth, 1::bigint as rank from p)"""
+    ]
+    for d in range(1, depth + 1):
+        known = " union all ".join(f"select * from l{k}" for k in range(d))
+        parts.append(f"""known{d} as ({known}),
+ step{d} as (select site, dst as url, min((l.rank * 1000000 + pos)) as place from l{d - 1} l join edges on src = url and starts_with(dst, site) group by 1, 2),
+ new{d} as (select s.* from step{d} s where not exists (select 1 from known{d} k where k.site = s.site and k.url = s.url)),
+ l{d} as (select * from (select n.site, n.url, {d} as depth, (m.top + row_number() over (partition by n.site order by n.place, n.url))::bigint as rank
+   from new{d} n join (select site, max(rank) as top from known{d} group by 1) m on n.site = m.site) where rank <= {most})""")
+    return ",\n ".join(parts) + " " + " union all ".join(f"select * from l{k}" for k in range(depth + 1))
+
+
+@query("link_reachability_ranked", ranked_levels(3, 8))
+def _(spark, sf):
+    seeds, edges = site_links(spark, sf)
+    return reachable(seeds, edges, max_pages=8, max_depth=3)
 
 
 REACH = f"""select p.o as site, count(*) as within_two from (select distinct regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) o from pages) p join

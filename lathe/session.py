@@ -3,6 +3,8 @@
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +82,22 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed(df: DataFrame, key: str, label: str = "bucketed") -> Iterator[DataFrame]:
+    """The frame stored in as many buckets of ``key`` as a shuffle has partitions.
+
+    Inside the block, a join on the key shuffles the other side only. The table's
+    name goes at the end of the block; its files stay in the shared folder.
+    """
+    spark = df.sparkSession
+    buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{label}_{uuid.uuid4().hex}"
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", fresh_dir(spark, label)).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"drop table {name}")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     shared_dir(df.sparkSession)

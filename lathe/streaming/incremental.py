@@ -5,6 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rx import is_blank
 from ..operators.dedup import append_old_wins, keep_first
+from ..session import stored
 from ..sinks.tables import upsert_by_category, written
 
 
@@ -33,7 +34,9 @@ def first_sightings(stream: DataFrame, key: str, landed: str | None = None, hori
 def sightings_stream(stream: DataFrame, path: str, checkpoint: str, key: str, order, once: bool = True) -> StreamingQuery:
     """M1: rows of keys that the written table does not have, however late they land; no state.
 
-    What is there stays, also for a new checkpoint; replays change nothing.
+    What is there stays, also for a new checkpoint; replays change nothing. A
+    batch finds its own keys in the table first, so Spark may send a small
+    batch to the table instead of shuffling the table.
     """
     schema = stream.schema
 
@@ -41,7 +44,9 @@ def sightings_stream(stream: DataFrame, path: str, checkpoint: str, key: str, or
         fresh = keep_first(batch.filter(~is_blank(key)), key, order)
         done = written(batch.sparkSession, path, schema)
         if done is not None:
-            fresh = fresh.join(done.select(key), key, "left_anti")
+            fresh = stored(fresh, "batch")
+            known = done.select(key).join(fresh.select(key), key, "left_semi").distinct()
+            fresh = fresh.join(known, key, "left_anti")
         fresh.write.mode("append").parquet(path)
 
     writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
@@ -49,9 +54,18 @@ def sightings_stream(stream: DataFrame, path: str, checkpoint: str, key: str, or
 
 
 def discovered_urls(seeds: DataFrame, found: DataFrame, url: str) -> DataFrame:
-    """M3: seeds and discovered URLs join the queue once, ignoring case."""
+    """M3: seeds and discovered URLs join the queue once, ignoring case; a stream's state keeps every URL, see ``discovered_stream``."""
+    return _urls(seeds, found, url).dropDuplicates([url])
+
+
+def discovered_stream(seeds: DataFrame, found: DataFrame, url: str, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """M3 without state: the queue is the written table, which a batch is compared with. A new checkpoint loses and repeats nothing."""
+    return sightings_stream(_urls(seeds, found, url), path, checkpoint, url, [url], once)
+
+
+def _urls(seeds: DataFrame, found: DataFrame, url: str) -> DataFrame:
     both = seeds.select(F.lower(F.trim(F.col(url))).alias(url)).union(found.select(F.lower(F.trim(F.col(url))).alias(url)))
-    return both.filter(~is_blank(url)).dropDuplicates([url])
+    return both.filter(~is_blank(url))
 
 
 def attempt_counts(attempts: DataFrame, key: str, ok: str) -> DataFrame:

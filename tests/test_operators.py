@@ -426,3 +426,22 @@ def test_card_layouts(spark):
     got = sorted(tuple(r) for r in K.laid_out_cards(df, wide).select("page_id", "pos", "card_url", "card_name", "card_sku", "card_image", "pos_of").collect())
     s = "https://s.example"
     assert got == [(1, 0, f"{s}/1", "One", None, None, "kept"), (1, 1, f"{s}/3", None, None, None, "kept"), (2, 0, f"{s}/4", None, None, None, "kept")]
+
+
+def test_no_round_shuffles_the_edges(spark):
+    from lathe.operators.linkgraph import steps
+    from lathe.session import bucketed
+
+    edges = spark.range(1000).selectExpr("concat('http://a/', id % 50) src", "cast(id as int) pos", "concat('http://a/', id) dst")
+    frontier = spark.createDataFrame([("http://a", "http://a/7", 1)], "site string, url string, rank bigint")
+    before, tables = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), len(spark.catalog.listTables())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with bucketed(edges, "src") as stored_edges:
+            found = steps(frontier, stored_edges)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(url" in plan and "hashpartitioning(src" not in plan
+            assert found.count() == 20
+        assert len(spark.catalog.listTables()) == tables
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
