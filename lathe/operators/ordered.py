@@ -1,13 +1,14 @@
 """Order-aware operators that never put a whole key into one task (H1-H11, I).
 
 A plain window over a category sends all rows of the category to one task.
-Here every key is cut into ranges of the order: rows are numbered inside
-(key, range) groups, the per-range totals are added up on the small
-aggregated side, and joined back. Ranges are cut in the full lexicographic
-order of all order columns, from a hashed part of the rows, so neither a hot
-key nor a hot first order column (one source with a third of all rows) ends
-in one task. The bounds are a scalar subquery: the operator stays one lazy
-plan. The order columns together should be unique.
+Here the rows are range-partitioned by their keys and then their order, and
+stored once: a hot key, or a hot first order column (one source with a third of
+all rows), spreads over as many partitions as it fills, and a partition holds
+few pieces of keys. Rows are numbered inside (key, partition) groups, the
+groups' totals are added up on the small aggregated side, and joined back. So
+the input is read twice, for the bounds and for the shuffle, and the work runs
+when the operator is called. The order columns together should be unique
+inside a key.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -16,42 +17,6 @@ from ..functions.rx import as_col, is_blank
 from ..session import stored
 
 
-def range_bits(df: DataFrame, ranges: int | None = None) -> int:
-    """log2 of the range count: at least as many ranges as shuffle partitions."""
-    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(n - 1, 16383).bit_length())
-
-
-_HASH_SPACE = 1 << 31
-_ROWS_PER_RANGE = 100
-
-
-def with_range(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
-    """Adds ``__range``, the index of the order range a row falls in.
-
-    About a hundred rows per range are picked by hash, sorted in one task,
-    and every hundredth is a bound: that task stays small on any input. The
-    bounds only decide how evenly the work is spread; every row is numbered.
-    Count, hash and sort give the same bounds each time, so totals and rows
-    always agree on the ranges. A row finds its range by binary search: one
-    staged column per halving, all inside generated code.
-    """
-    bits = range_bits(df, ranges)
-    n = 1 << bits
-    here = F.struct(*order)
-    quota = df.select((F.lit(float(_ROWS_PER_RANGE * n * _HASH_SPACE)) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("q")).scalar()
-    picked = df.filter(F.pmod(F.xxhash64(*order), F.lit(_HASH_SPACE)) < quota)
-    part = picked.agg(F.sort_array(F.collect_list(here)).alias("s"))
-    cuts = F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get("s", F.floor(i * F.size("s") / n).cast("int")))
-    bounds = part.select(cuts).scalar()
-    out = df.withColumn("__at0", F.lit(0))
-    for i in range(bits):
-        step = 1 << (bits - 1 - i)
-        at = F.col(f"__at{i}")
-        out = out.withColumn(f"__at{i + 1}", at + F.when(F.get(bounds, at + (step - 1)) <= here, step).otherwise(0))
-    return out.withColumnRenamed(f"__at{bits}", "__range").drop(*[f"__at{i}" for i in range(bits)])
-
-
 def _order(cols):
     return [F.col(c).asc() if isinstance(c, str) else c for c in cols]
 
@@ -69,6 +34,18 @@ def _join_back(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(side, cond, "left").drop("__side_range", *[f"__k{i}" for i in range(len(keys))])
 
 
+def laid_out(df: DataFrame, order: list[str], keys=(), ranges: int | None = None) -> DataFrame:
+    """The rows stored in (keys, order), with ``__at``, a place that grows inside a partition, and ``__range``, the partition.
+
+    Without ``ranges`` there are as many partitions as the session's shuffles have, before AQE joins small ones.
+    """
+    cols = [*keys, *_order(order)]
+    spread = df.repartitionByRange(ranges, *cols) if ranges else df.repartitionByRange(*cols)
+    laid = stored(spread.sortWithinPartitions(*cols).withColumn("__at", F.monotonically_increasing_id()), "laid")
+    # monotonically_increasing_id is the partition number followed by 33 bits of the row's place.
+    return laid.withColumn("__range", F.shiftright("__at", 33))
+
+
 def numbered(df: DataFrame, order, out: str = "Index", start: int = 0, label: str = "numbered") -> DataFrame:
     """Gap-free numbers over all rows in order: one range shuffle, no window over rows.
 
@@ -94,7 +71,7 @@ def numbered(df: DataFrame, order, out: str = "Index", start: int = 0, label: st
 def running_sum(df: DataFrame, value, order, keys=(), out: str = "running", ranges: int | None = None, start: int = 0) -> DataFrame:
     """Sum of ``value`` over all rows up to this one, per key, in order; NULL before the first value."""
     order, keys = _names(order), _names(keys)
-    work = with_range(df, order, ranges).withColumn("__value", as_col(value))
+    work = laid_out(df.withColumn("__value", as_col(value)), order, keys, ranges)
     totals = work.groupBy(*keys, "__range").agg(F.sum("__value").alias("__total"))
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "__range", F.sum("__total").over(before).alias("__offset"))
@@ -102,14 +79,20 @@ def running_sum(df: DataFrame, value, order, keys=(), out: str = "running", rang
     local = work.withColumn("__local", F.sum("__value").over(inside))
     joined = _join_back(local, offsets, keys)
     total = F.when(F.coalesce("__offset", "__local").isNotNull(), F.coalesce("__offset", F.lit(0)) + F.coalesce("__local", F.lit(0)) + F.lit(start))
-    return joined.withColumn(out, total).drop("__range", "__value", "__local", "__offset")
+    return joined.withColumn(out, total).drop("__at", "__range", "__value", "__local", "__offset")
 
 
 def running_index(df: DataFrame, order, keys=(), out: str = "Index", ranges: int | None = None, start: int = 0) -> DataFrame:
-    """H1 with keys, H2 without: gap-free 1..n in order."""
-    if not _names(keys):
+    """H1 with keys, H2 without: gap-free 1..n in order; a column called ``out`` is replaced. No window over rows."""
+    order, keys = _names(order), _names(keys)
+    if not keys:
         return numbered(df, order, out, start)
-    return running_sum(df, F.lit(1).cast("bigint"), order, keys, out, ranges, start)
+    work = laid_out(df.drop(out), order, keys, ranges)
+    totals = work.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "__range", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__offset"))
+    joined = _join_back(work, offsets, keys)
+    return joined.withColumn(out, F.col("__at") + F.col("__offset") + F.lit(1 + start)).drop("__at", "__range", "__offset")
 
 
 def index_across(df: DataFrame, category: str, category_order: str, order, out: str = "Index", ranges: int | None = None) -> DataFrame:
@@ -118,7 +101,7 @@ def index_across(df: DataFrame, category: str, category_order: str, order, out:
     Only the category totals, one row per category, meet in one task.
     """
     numbered = running_index(df, order, [category], "__in_category", ranges)
-    sizes = df.groupBy(category, category_order).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = numbered.groupBy(category, category_order).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(category_order, category).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(F.col(category).alias("__c"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     joined = numbered.join(starts, F.col(category).eqNullSafe(F.col("__c")), "left")
@@ -139,7 +122,7 @@ def batch_number(df: DataFrame, order, size: int = 50, out: str = "batch", range
 def carry_forward(df: DataFrame, value, order, keys=(), out: str = "section", ranges: int | None = None) -> DataFrame:
     """H7/H9: the last non-null ``value`` at or before this row, per key."""
     order, keys = _names(order), _names(keys)
-    work = with_range(df, order, ranges).withColumn("__value", as_col(value))
+    work = laid_out(df.withColumn("__value", as_col(value)), order, keys, ranges)
     seen = work.filter(F.col("__value").isNotNull())
     rank = F.struct(*[F.col(c) for c in order])
     totals = work.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
@@ -150,13 +133,13 @@ def carry_forward(df: DataFrame, value, order, keys=(), out: str = "section", ra
     inside = Window.partitionBy(*keys, "__range").orderBy(*_order(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = work.withColumn("__local", F.last("__value", ignorenulls=True).over(inside))
     joined = _join_back(local, priors, keys)
-    return joined.withColumn(out, F.coalesce("__local", "__prior")).drop("__range", "__value", "__local", "__prior")
+    return joined.withColumn(out, F.coalesce("__local", "__prior")).drop("__at", "__range", "__value", "__local", "__prior")
 
 
 def next_value(df: DataFrame, value, order, keys=(), out: str = "next", ranges: int | None = None) -> DataFrame:
     """H8: the first non-null ``value`` strictly after this row, per key."""
     order, keys = _names(order), _names(keys)
-    work = with_range(df, order, ranges).withColumn("__value", as_col(value))
+    work = laid_out(df.withColumn("__value", as_col(value)), order, keys, ranges)
     rank = F.struct(*[F.col(c) for c in order])
     totals = work.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
     firsts = work.filter(F.col("__value").isNotNull()).groupBy(*keys, "__range").agg(F.min_by("__value", rank).alias("__first"))
@@ -168,7 +151,7 @@ def next_value(df: DataFrame, value, order, keys=(), out: str = "next", ranges:
     inside = Window.partitionBy(*keys, "__range").orderBy(*flipped).rowsBetween(Window.unboundedPreceding, -1)
     local = work.withColumn("__local", F.last("__value", ignorenulls=True).over(inside))
     joined = _join_back(local, later, keys)
-    return joined.withColumn(out, F.coalesce("__local", "__later")).drop("__range", "__value", "__local", "__later")
+    return joined.withColumn(out, F.coalesce("__local", "__later")).drop("__at", "__range", "__value", "__local", "__later")
 
 
 def sheet_order(df: DataFrame, category: str, order: str, out: str = "sheet_ord") -> DataFrame:

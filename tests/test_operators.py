@@ -123,14 +123,14 @@ def test_carry_forward_and_next(table, rows):
 
 
 def test_ranges_share_a_hot_key(table):
-    sizes = O.with_range(table, ["ord"], 8).groupBy("__range").count().collect()
+    sizes = O.laid_out(table, ["ord"], ranges=8).groupBy("__range").count().collect()
     assert max(r["count"] for r in sizes) < N / 3
 
 
 def test_hot_first_order_column_is_spread(table, rows):
     """One source holds every row: the position behind it still cuts the ranges."""
     t = table.withColumn("source", F.lit("one"))
-    sizes = O.with_range(t, ["source", "ord"], 8).groupBy("__range").count().collect()
+    sizes = O.laid_out(t, ["source", "ord"], ranges=8).groupBy("__range").count().collect()
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < N / 4
     got = {r["ord"]: r["i"] for r in O.running_index(t, ["source", "ord"], (), "i", 8).collect()}
     assert got == {r[0]: i for i, r in enumerate(sorted(rows), 1)}
@@ -445,3 +445,42 @@ def test_no_round_shuffles_the_edges(spark):
         assert len(spark.catalog.listTables()) == tables
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["running_index", "running_sum", "carry_forward", "next_value", "index_across", "numbered"])
+def test_ordered_operators_read_their_input_twice(spark, name):
+    """A hot key with half of all rows and a NULL key, against a plain Python loop."""
+    import lathe.operators.ordered as O
+
+    rows = [(None if i % 10 == 0 else "hot" if i % 2 else f"k{i % 7}", (i * 37) % 401, i % 3 if i % 5 else None) for i in range(401)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "k string, o int, v int").mapInArrow(count, "k string, o int, v int")
+    made = {
+        "running_index": lambda: O.running_index(df, "o", ["k"], "out", ranges=5),
+        "running_sum": lambda: O.running_sum(df, "v", "o", ["k"], "out", ranges=5),
+        "carry_forward": lambda: O.carry_forward(df, "v", "o", ["k"], "out", ranges=5),
+        "next_value": lambda: O.next_value(df, "v", "o", ["k"], "out", ranges=5),
+        "index_across": lambda: O.index_across(df.withColumn("c", F.lit(1)), "k", "c", "o", "out", ranges=5),
+        "numbered": lambda: O.numbered(df, "o", "out"),
+    }[name]()
+    got = {r["o"]: r["out"] for r in made.collect()}
+    assert seen.value <= 2 * len(rows)
+    want, first = {}, lambda r: (r[0] is not None, r[0] or "", r[1])
+    if name == "numbered":
+        want = {o: i + 1 for i, (_, o, _) in enumerate(sorted(rows, key=lambda r: r[1]))}
+    elif name == "index_across":
+        want = {o: i + 1 for i, (_, o, _) in enumerate(sorted(rows, key=first))}
+    for key in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == key), key=first)
+        for i, (_, o, _) in enumerate(own):
+            past = [v for _, _, v in own[: i + 1] if v is not None]
+            later = [v for _, _, v in own[i + 1 :] if v is not None]
+            value = {"running_index": i + 1, "running_sum": sum(past) if past else None, "carry_forward": past[-1] if past else None, "next_value": later[0] if later else None}
+            want.setdefault(o, value.get(name))
+    assert got == want
