@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import dealt
+from ..session import dealt, spread
 
 
 @dataclass(frozen=True)
@@ -16,6 +16,9 @@ class Entry:
 
 ENTRIES: dict[str, Entry] = {}
 
+#: Tables whose rows are whole texts: their files have many splits.
+LONG = ("pages", "documents")
+
 
 def query(name: str, sql: str | None = None):
     def add(fn):
@@ -28,8 +31,9 @@ def query(name: str, sql: str | None = None):
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are costly to read: see ``dealt``."""
-    return dealt(table(spark, sf_dir, name))
+    """A table whose rows are costly to read: long ones (pages, documents) see ``dealt``, short ones ``spread``."""
+    rows = table(spark, sf_dir, name)
+    return dealt(rows) if name in LONG else spread(rows)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

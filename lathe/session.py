@@ -70,6 +70,18 @@ def dealt(df: DataFrame) -> DataFrame:
     return df.repartition(int(tasks)) if tasks else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Short rows that are costly to read, dealt to as many tasks as a shuffle has, and no fewer than there are cores.
+
+    Millions of such rows fit in a file of a few megabytes, which Spark reads in
+    one task; next to the work on them the shuffle costs little. The number is
+    given, so AQE does not join the tasks again. ``lathe.text.tasks`` goes before it.
+    """
+    spark = df.sparkSession
+    usual = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(int(spark.conf.get(TEXT_TASKS, None) or usual))
+
+
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """The frame written once to the shared folder and read back.
 

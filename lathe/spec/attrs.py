@@ -520,14 +520,16 @@ PIPE_LABELS = {
 
 
 def pipe_fields(c) -> dict[str, Column]:
-    pairs = pipe_pairs(c)
+    def read(pairs):
+        def last(pattern):
+            return F.try_element_at(F.filter(pairs, lambda p: F.upper(p["label"]).rlike(pattern)), F.lit(-1))["value"]
 
-    def last(pattern):
-        return F.try_element_at(F.filter(pairs, lambda p: F.upper(p["label"]).rlike(pattern)), F.lit(-1))["value"]
+        out = {f: first_of(*[let(last(p), number_or_raw) for p in pats]) for f, pats in PIPE_LABELS.items()}
+        return F.struct(*[v.alias(f) for f, v in out.items()], last("SHADE INCLUDED").alias("shade"))
 
-    out = {f: first_of(*[number_or_raw(last(p)) for p in pats]) for f, pats in PIPE_LABELS.items()}
-    out["shade"] = last("SHADE INCLUDED")
-    return out
+    # The list is cut once; all fields come from one struct.
+    found = let(pipe_pairs(c), read)
+    return {f: found[f] for f in (*PIPE_LABELS, "shade")}
 
 
 def pipe_map(c) -> Column:

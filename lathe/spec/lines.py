@@ -8,7 +8,7 @@ no fold, and the whole text is read.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.html import contents
-from ..functions.rx import as_col, blank_to_null, grab, like, lines_of, strip
+from ..functions.rx import as_col, blank_to_null, grab, let, like, lines_of, strip
 from ..functions.text import drop_tags, html_to_line, squeeze, unwrap_quoted
 from ..operators.filters import looks_feet, looks_inch
 from ..operators.projection import widen
@@ -185,9 +185,11 @@ def caps_sections(c) -> Column:
 
 def map_first(entries) -> Column:
     """Map of (key, value) entries, first value per key."""
-    e = as_col(entries)
-    keys = F.transform(e, lambda x: x["key"])
-    return F.map_from_entries(F.filter(e, lambda x, i: F.array_position(keys, x["key"]) == i + 1))
+
+    def firsts(e):
+        return let(F.transform(e, lambda x: x["key"]), lambda keys: F.filter(e, lambda x, i: F.array_position(keys, x["key"]) == i + 1))
+
+    return F.map_from_entries(let(entries, firsts))
 
 
 def map_last(entries) -> Column:
@@ -212,14 +214,22 @@ def pipe_attributes(c) -> dict[str, Column]:
 
 def block_after(c, label: str, known_labels) -> Column:
     """Text on the label's line, else the lines below it up to the next known label."""
-    lines = lines_of(c)
-    opens = F.transform(lines, like(rf"(?i)^{either([label])}(?:\s*:|\s|$)"))
-    at = F.array_position(opens, True)
-    own = F.trim(F.regexp_replace(F.get(lines, (at - 1).cast("int")), rf"(?i)^{either([label])}\s*:?\s*", ""))
-    below = F.slice(lines, (at + 1).cast("int"), F.greatest(F.size(lines) - at, F.lit(0)).cast("int"))
-    stop = F.array_position(F.transform(below, like(rf"(?i)^(?:{either(known_labels)}):?$")), True)
-    kept = F.when(stop > 0, F.slice(below, F.lit(1), (stop - 1).cast("int"))).otherwise(below)
-    return F.when(at > 0, blank_to_null(F.when(own != "", own).otherwise(F.array_join(kept, " "))))
+
+    def below_of(below):
+        stop = F.array_position(F.transform(below, like(rf"(?i)^(?:{either(known_labels)}):?$")), True)
+        return let(stop, lambda at: F.when(at > 0, F.slice(below, F.lit(1), (at - 1).cast("int"))).otherwise(below))
+
+    def read(lines, at):
+        own = F.trim(F.regexp_replace(F.get(lines, (at - 1).cast("int")), rf"(?i)^{either([label])}\s*:?\s*", ""))
+        below = F.slice(lines, (at + 1).cast("int"), F.greatest(F.size(lines) - at, F.lit(0)).cast("int"))
+        text = let(own, lambda o: F.when(o != "", o).otherwise(F.array_join(let(below, below_of), " ")))
+        return F.when(at > 0, let(text, blank_to_null))
+
+    def found(lines):
+        opens = F.transform(lines, like(rf"(?i)^{either([label])}(?:\s*:|\s|$)"))
+        return let(F.array_position(opens, True), lambda at: read(lines, at))
+
+    return let(lines_of(c), found)
 
 
 def block_lines(c, label: str, known_labels) -> Column:
@@ -232,12 +242,17 @@ def block_lines(c, label: str, known_labels) -> Column:
 
 def line_after(c, keyword: str, digit: bool = False) -> Column:
     """H8: first line after the keyword's line, optionally one with a digit."""
-    lines = lines_of(c)
-    at = F.array_position(F.transform(lines, lambda x: F.lower(x).contains(keyword.lower())), True)
-    below = F.slice(lines, (at + 1).cast("int"), F.greatest(F.size(lines) - at, F.lit(0)).cast("int"))
-    if digit:
-        below = F.filter(below, like(r"\d"))
-    return F.when(at > 0, F.get(below, F.lit(0)))
+
+    def read(lines, at):
+        below = F.slice(lines, (at + 1).cast("int"), F.greatest(F.size(lines) - at, F.lit(0)).cast("int"))
+        if digit:
+            below = F.filter(below, like(r"\d"))
+        return F.when(at > 0, F.get(below, F.lit(0)))
+
+    def found(lines):
+        return let(F.array_position(F.transform(lines, lambda x: F.lower(x).contains(keyword.lower())), True), lambda at: read(lines, at))
+
+    return let(lines_of(c), found)
 
 
 def sheet_attributes(c, raw_chars: int | None = None) -> dict[str, Column]:
@@ -248,13 +263,14 @@ def sheet_attributes(c, raw_chars: int | None = None) -> dict[str, Column]:
     lines = F.filter(lines_of(c), lambda x: x.contains(":"))
     pairs = F.transform(lines, lambda x: F.struct(F.upper(F.trim(F.substring_index(x, ":", 1))).alias("key"), F.trim(F.regexp_extract(x, r"(?s)^[^:]*:(.*)$", 1)).alias("value")))
     pairs = F.filter(pairs, lambda p: (p["key"] != "") & (p["value"] != ""))
-    out = {}
-    for target, words in SHEET_KEYS.items():
-        hits = []
-        for w in words:
-            key = F.get(F.filter(pairs, lambda p: p["key"].contains(w)), F.lit(0))["key"]
-            hits.append(F.try_element_at(F.filter(pairs, lambda p: p["key"] == key), F.lit(-1))["value"])
-        out[target] = F.coalesce(*hits)
+
+    def hit(pairs, word):
+        key = F.get(F.filter(pairs, lambda p: p["key"].contains(word)), F.lit(0))["key"]
+        return let(key, lambda k: F.try_element_at(F.filter(pairs, lambda p: p["key"] == k), F.lit(-1))["value"])
+
+    # One struct of all attributes: the lines are cut once, whatever is read from it.
+    found = let(pairs, lambda ps: F.struct(*[F.coalesce(*[hit(ps, w) for w in words]).alias(target) for target, words in SHEET_KEYS.items()]))
+    out = {target: found[target] for target in SHEET_KEYS}
     raw = F.substring(as_col(c), 1, raw_chars) if raw_chars else as_col(c)
     out["raw_text"] = F.replace(raw, F.lit("\n"), F.lit(" | "))
     return out
@@ -276,28 +292,37 @@ def ordered_line_rules(c) -> dict[str, Column]:
         "content": r"(?i)^content",
         "color": r"(?i)^color",
     }
-    rest, owned = lines, {}
-    for name, p in owners.items():
-        owned[name] = F.filter(rest, like(p))
-        rest = F.filter(rest, lambda x: ~like(p)(x))
-
-    def pick(name):
-        last = name.startswith("cushion")
-        return F.try_element_at(owned[name], F.lit(-1 if last else 1))
-
-    def after(name, word):
-        line = pick(name)
-        return blank_to_null(F.trim(F.coalesce(grab(line, r"(?s):(.*)$"), F.regexp_replace(line, f"(?i){word}", ""))))
-
-    out = {
-        "weight": grab(pick("weight"), r"(?i)weight\s*\(lb\).*?([0-9]+(?:\.[0-9]+)?)"),
-        "dimension": F.regexp_replace(F.translate(after("dimension", r"dimensions?\s*\(in\)\s*"), "”“", '""'), r'\s*"$', ""),
-        "construction": after("construction", "kd construction"),
-        "content": after("content", "content"),
-        "color": after("color", "color"),
-    }
-    for f in ("seat_height", "seat_depth", "arm_height"):
-        out[f] = grab(pick(f), r"(\d+(?:\.\d+)?)")
-    count = F.coalesce(grab(pick("cushion_count"), r"(\d+)"), F.trim(grab(pick("cushion_count"), r"(?s):(.*)$")))
-    out["cushion"] = blank_to_null(F.concat_ws(", ", count, after("cushion_type", "standard cushion")))
-    return out
+
+    def owner(line):
+        first = F.lit(None).cast("string")
+        for name, p in reversed(owners.items()):
+            first = F.when(like(p)(line), F.lit(name)).otherwise(first)
+        return F.struct(first.alias("owner"), line.alias("line"))
+
+    def picked(owned):
+        """The line each rule reads: its first one, of the cushion rules the last."""
+        mine = {name: F.filter(owned, lambda o: o["owner"] == name) for name in owners}
+        return F.struct(*[F.try_element_at(m, F.lit(-1 if name.startswith("cushion") else 1))["line"].alias(name) for name, m in mine.items()])
+
+    def read(pick):
+        def after(name, word):
+            line = pick[name]
+            return blank_to_null(F.trim(F.coalesce(grab(line, r"(?s):(.*)$"), F.regexp_replace(line, f"(?i){word}", ""))))
+
+        out = {
+            "weight": grab(pick["weight"], r"(?i)weight\s*\(lb\).*?([0-9]+(?:\.[0-9]+)?)"),
+            "dimension": F.regexp_replace(F.translate(after("dimension", r"dimensions?\s*\(in\)\s*"), "”“", '""'), r'\s*"$', ""),
+            "construction": after("construction", "kd construction"),
+            "content": after("content", "content"),
+            "color": after("color", "color"),
+        }
+        for f in ("seat_height", "seat_depth", "arm_height"):
+            out[f] = grab(pick[f], r"(\d+(?:\.\d+)?)")
+        count = F.coalesce(grab(pick["cushion_count"], r"(\d+)"), F.trim(grab(pick["cushion_count"], r"(?s):(.*)$")))
+        out["cushion"] = blank_to_null(F.concat_ws(", ", count, after("cushion_type", "standard cushion")))
+        return F.struct(*[v.alias(f) for f, v in out.items()])
+
+    # Each line is looked at once; all fields come from one struct.
+    found = let(let(F.transform(lines, owner), picked), read)
+    fields = ("weight", "dimension", "construction", "content", "color", "seat_height", "seat_depth", "arm_height", "cushion")
+    return {f: found[f] for f in fields}
