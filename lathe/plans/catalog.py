@@ -58,10 +58,11 @@ def two_stage(listing: DataFrame, done: DataFrame, detail: DataFrame, url: str,
 def collection_flow(products: DataFrame, category_dim: DataFrame, limit: int | None = None, demo: bool = False) -> DataFrame:
     """Collection flow: type filter, de-duplication by scope and order, optional demo limit; rows without SKU and handle go.
 
-    ``products``: category, handle, sku, product_type, ord.
+    ``products``: category, handle, sku, product_type, ord. The configuration is broadcast: its size is not
+    known to Spark, and a join on the category would put each category's rows into one task.
     """
     dim = category_dim.select("category", F.col("ord").alias("category_ord"), "dedup_scope", "type_filter")
-    rows = products.join(dim, "category").filter(type_matches("product_type", "type_filter")).drop("type_filter")
+    rows = products.join(F.broadcast(dim), "category").filter(type_matches("product_type", "type_filter")).drop("type_filter")
     keyed = rows.withColumn("key", F.coalesce(F.concat(F.lit("s:"), present("sku")), F.concat(F.lit("h:"), present("handle"))))
     return demo_then_scope(keyed.filter(F.col("key").isNotNull()), "category", "key", "dedup_scope", ["category_ord", "ord"], limit, demo).drop("key")
 

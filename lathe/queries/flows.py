@@ -88,7 +88,7 @@ COLLECT = "select l_returnflag as category, case l_returnflag when 'N' then 0 wh
     union all select category, l_partkey from ({COLLECT}) where rn = 1 and category = 'R'""",
 )
 def _(spark, sf):
-    li = table(spark, sf, "lineitem").join(table(spark, sf, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    li = texts(spark, sf, "lineitem").join(table(spark, sf, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     rows = li.select(F.col("l_returnflag").alias("category"), "l_partkey", S("l_partkey").alias("handle"), F.lit(" ").alias("sku"), F.col("p_name").alias("product_type"), F.struct(*ORDER).alias("ord"))
     return collection_flow(rows, A.category_dim(spark, CONFIG)).select("category", "l_partkey")
 
