@@ -46,7 +46,7 @@ def laid_out(df: DataFrame, order: list[str], keys=(), ranges: int | None = None
     return laid.withColumn("__range", F.shiftright("__at", 33))
 
 
-def numbered(df: DataFrame, order, out: str = "Index", start: int = 0, label: str = "numbered") -> DataFrame:
+def numbered(df: DataFrame, order, out: str = "Index", start: int = 0, label: str = "numbered", ranges: int | None = None) -> DataFrame:
     """Gap-free numbers over all rows in order: one range shuffle, no window over rows.
 
     The rows are range-partitioned, sorted and stored once with their place in
@@ -56,8 +56,9 @@ def numbered(df: DataFrame, order, out: str = "Index", start: int = 0, label: st
     An empty input gives an empty output; a column called ``out`` is replaced.
     """
     cols = _order(_names(order))
-    laid = df.drop(out).repartitionByRange(*cols).sortWithinPartitions(*cols)
-    laid = stored(laid.withColumn("__at", F.monotonically_increasing_id()), label)
+    rows = df.drop(out)
+    spread = rows.repartitionByRange(ranges, *cols) if ranges else rows.repartitionByRange(*cols)
+    laid = stored(spread.sortWithinPartitions(*cols).withColumn("__at", F.monotonically_increasing_id()), label)
     # monotonically_increasing_id is the partition number followed by 33 bits of the row's place.
     totals = laid.groupBy(F.shiftright("__at", 33).alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -98,14 +99,11 @@ def running_index(df: DataFrame, order, keys=(), out: str = "Index", ranges: int
 def index_across(df: DataFrame, category: str, category_order: str, order, out: str = "Index", ranges: int | None = None) -> DataFrame:
     """H2: one running index over categories in their configured order.
 
-    Only the category totals, one row per category, meet in one task.
+    The rows are numbered in (category order, category, order) as a whole, so a
+    category with most of the rows is cut into ranges like any other part of
+    the order and no row is shuffled by its category.
     """
-    numbered = running_index(df, order, [category], "__in_category", ranges)
-    sizes = numbered.groupBy(category, category_order).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy(category_order, category).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col(category).alias("__c"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    joined = numbered.join(starts, F.col(category).eqNullSafe(F.col("__c")), "left")
-    return joined.withColumn(out, F.col("__start") + F.col("__in_category")).drop("__c", "__start", "__in_category")
+    return numbered(df, [category_order, category, *_names(order)], out, ranges=ranges)
 
 
 def index_missing(df: DataFrame, target: str, order, start: int = 0, out: str = "serial", ranges: int | None = None) -> DataFrame:
