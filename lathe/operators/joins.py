@@ -18,18 +18,23 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, right_key: str | No
     """Equi join on trimmed text keys; the right key column is dropped.
 
     ``salts`` > 1 repeats the right side that many times and spreads the rows
-    of every left key over as many tasks, by the hash of ``spread``.
+    of every left key over as many tasks, by the hash of ``spread``. Such a join
+    is shuffled and merged: a broadcast would need no salt, and every task
+    would hold the right side ``salts`` times.
     """
     right_key = right_key or key
     r = right.withColumnRenamed(right_key, "__rk").withColumn("__rk", strip(F.col("__rk").cast("string")))
-    cond = strip(left[key].cast("string")) == F.col("__rk")
+    salted = left
     if salts > 1:
         names = [spread] if isinstance(spread, str) else list(spread or left.columns)
-        left = left.withColumn("__salt", F.pmod(F.xxhash64(*names), F.lit(salts)))
-        r = r.withColumn("__rsalt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-        cond = (strip(F.col(key).cast("string")) == F.col("__rk")) & (F.col("__salt") == F.col("__rsalt"))
-    joined = left.join(r, cond, how).drop("__rk")
-    return joined.drop("__salt", "__rsalt") if salts > 1 else joined
+        salted = left.withColumn("__salt", F.pmod(F.xxhash64(*names), F.lit(salts)))
+        r = r.withColumn("__rsalt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))).hint("merge")
+    # The trimmed key is a column: a sort would work an expression out at each comparison.
+    keyed = salted.withColumn("__lk", strip(F.col(key).cast("string")))
+    cond = F.col("__lk") == F.col("__rk")
+    if salts > 1:
+        cond = cond & (F.col("__salt") == F.col("__rsalt"))
+    return keyed.join(r, cond, how).drop("__lk", "__rk", "__salt", "__rsalt")
 
 
 def unique(right: DataFrame, key: str, order=None) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import filters as P
 from ..operators import joins as J
-from .registry import query, table
+from .registry import query, table, texts
 
 
 def S(c):
@@ -30,7 +30,7 @@ def _(spark, sf):
 def _(spark, sf):
     cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     main = table(spark, sf, "lineitem").select(*cols, S("l_partkey").alias("link"))
-    part = table(spark, sf, "part").select(S("p_partkey").alias("url"), "p_name", F.lit(1).alias("ord"))
+    part = texts(spark, sf, "part").select(S("p_partkey").alias("url"), "p_name", F.lit(1).alias("ord"))
     return J.merge_results(main, part, "link", "url", "ord", salts=4, spread=cols).drop("link", "ord")
 
 
