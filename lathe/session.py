@@ -70,6 +70,11 @@ def dealt(df: DataFrame) -> DataFrame:
     return df.repartition(int(tasks)) if tasks else df
 
 
+def usual_tasks(spark: SparkSession) -> int:
+    """As many tasks as a shuffle has, and no fewer than there are cores: for small rows whose work AQE cannot see."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Short rows that are costly to read, dealt to as many tasks as a shuffle has, and no fewer than there are cores.
 
@@ -78,8 +83,7 @@ def spread(df: DataFrame) -> DataFrame:
     given, so AQE does not join the tasks again. ``lathe.text.tasks`` goes before it.
     """
     spark = df.sparkSession
-    usual = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(int(spark.conf.get(TEXT_TASKS, None) or usual))
+    return df.repartition(int(spark.conf.get(TEXT_TASKS, None) or usual_tasks(spark)))
 
 
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
