@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import slices
+
 DIMS = 1024
 #: 0: no letter; 1-26: a-z; the others share the remaining classes by code point.
 CLASSES = 64
@@ -103,7 +105,7 @@ def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", train
 
     def add(batches):
         total: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in slices(batches):
             langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for s, e in groups(texts):
                 for lang, x in zip(langs[s:e], unit(bundles(texts[s:e]))):
@@ -129,7 +131,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = [t or "" for t in b.column(len(kept)).to_pylist()]
             for s, e in groups(texts):
                 x = bundles(texts[s:e])

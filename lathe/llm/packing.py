@@ -17,7 +17,7 @@ an empty table gives an empty result; other columns are not read.
 
 import os
 import zlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .batches import slices
 from .bpe import chunks
 from .pieces import WORD_PATTERN, PieceIds, is_plain, special_tokens
 
@@ -51,9 +52,7 @@ class Words:
         from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.path = path
         self.special = tuple(special_tokens(path))
         # For pieces that are normalised and cut already: bytes and merges only.
         self.of_pieces = Tokenizer.from_file(path)
@@ -63,6 +62,16 @@ class Words:
         self.of_pieces.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.known = PieceIds(self._encode_pieces)
 
+    @cached_property
+    def tokenizer(self):
+        """The library's own, of as many MB as the one for pieces: read with the first text that is not plain."""
+        from tokenizers import Tokenizer
+
+        whole = Tokenizer.from_file(self.path)
+        whole.no_truncation()
+        whole.no_padding()
+        return whole
+
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         e = self.of_pieces.encode(pieces, is_pretokenized=True, add_special_tokens=False)
         return np.bincount(np.array(e.word_ids, np.int64), minlength=len(pieces)), np.array(e.ids, np.int32)
@@ -99,7 +108,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WIND
 
     def run(batches):
         w, task, seen = words(path), TaskContext.get().partitionId(), np.zeros(window + step + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in chunks(texts):
                 row, start, length, crc, total, bins, rank, ids = [], [], [], [], [], [], [], []

@@ -30,6 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import slices
 from .langid import fold
 
 WORDS = 12
@@ -115,7 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def fit(rows: DataFrame) -> Model | None:
     def contexts(batches):
         uses: Counter = Counter()
-        for b in batches:
+        for b in slices(batches):
             marks = set()
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 w = words_of(text or "")
@@ -127,7 +128,7 @@ def fit(rows: DataFrame) -> Model | None:
         yield pa.RecordBatch.from_pylist([{"word": w, "uses": n} for w, n in uses.items()], shape)
 
     def cut(batches):
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([pa.array([w for t in b.column(0).to_pylist() for w in windows(t or "")], pa.binary())], ["window"])
 
     shape = pa.schema([("word", pa.string()), ("before", pa.string()), ("after", pa.string()), ("uses", pa.int64())])
@@ -155,7 +156,7 @@ def fit(rows: DataFrame) -> Model | None:
 
     def measure(batches):
         packers = packer(ordinary), packer(toxic), packer(marked)
-        for b in batches:
+        for b in slices(batches):
             x = features([t or "" for t in b.column(0).to_pylist()], *packers)
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["toxic", "x"])
 
@@ -180,7 +181,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataF
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         packers = (packer(model.ordinary), packer(model.toxic), packer(model.marked)) if model else None
-        for b in batches:
+        for b in slices(batches):
             texts = [t or "" for t in b.column(len(kept)).to_pylist()]
             s = model.scores(texts, packers) if model else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(kept))), pa.array(s)], [*kept, "score"])
