@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices
+from .batches import slices, with_text
 
 DIMS = 1024
 #: 0: no letter; 1-26: a-z; the others share the remaining classes by code point.
@@ -129,10 +129,11 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     ways = unit(prototypes - mean).astype(np.float32)
     mean = mean.astype(np.float32)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    ready, at = with_text(docs, kept, text_col)
 
     def run(batches):
         for b in slices(batches):
-            texts = [t or "" for t in b.column(len(kept)).to_pylist()]
+            texts = [t or "" for t in b.column(at).to_pylist()]
             for s, e in groups(texts):
                 x = bundles(texts[s:e])
                 empty = ~(x != 0).any(axis=1)
@@ -148,7 +149,6 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(kept))), pa.array(pred, pa.string()), pa.array(score)], [*kept, "lang_pred", "score"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    ready = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).cast("string").alias("__text"))
     return ready.mapInArrow(run, f"{fields}, lang_pred string, score double".lstrip(", "))
 
 

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices
+from .batches import slices, with_text
 from .langid import fold
 
 WORDS = 12
@@ -178,16 +178,16 @@ def fit(rows: DataFrame) -> Model | None:
 def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """The rows with ``score``, in place of a column of this name."""
     kept = [c for c in docs.columns if c != "score"]
+    ready, at = with_text(docs, kept, text_col)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         packers = (packer(model.ordinary), packer(model.toxic), packer(model.marked)) if model else None
         for b in slices(batches):
-            texts = [t or "" for t in b.column(len(kept)).to_pylist()]
+            texts = [t or "" for t in b.column(at).to_pylist()]
             s = model.scores(texts, packers) if model else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(kept))), pa.array(s)], [*kept, "score"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    ready = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).cast("string").alias("__text"))
     return ready.mapInArrow(run, f"{fields}, score double".lstrip(", "))
 
 
