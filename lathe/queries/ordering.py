@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import ordered as O
 from ..session import fresh_dir
 from ..sinks.tables import brand_category_links, sheet_list, sheet_name, sheet_name_clashes, write_numbered_batches
+from ..sources.tables import read_numbered_batches
 from .copies import ORDER, ORDER_SQL
 from .registry import query, table
 
@@ -50,7 +51,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = fresh_dir(spark, "batches")
     write_numbered_batches(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), path, "o_orderkey")
-    back = spark.read.parquet(path).select("o_orderkey", F.col("batch").cast("bigint").alias("batch"), F.input_file_name().alias("file"))
+    back = read_numbered_batches(spark, path, ["o_orderkey"])
     return back.groupBy("batch").agg(F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
 
 

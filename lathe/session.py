@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, UserDefinedType, VariantType, YearMonthIntervalType
 
 #: Setting: tasks that text tables are dealt to before costly per-row work.
 TEXT_TASKS = "lathe.text.tasks"
@@ -60,6 +61,24 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The path as Python's own file calls take it; None if it is not on the local (or a mounted) file system."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = named.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.makeQualified(named).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
+def plain(kind: DataType) -> bool:
+    """Whether pyarrow writes and reads all values of the type as Spark does."""
+    if isinstance(kind, StructType):
+        return all(plain(f.dataType) for f in kind)
+    if isinstance(kind, MapType):
+        return plain(kind.keyType) and plain(kind.valueType)
+    if isinstance(kind, ArrayType):
+        return plain(kind.elementType)
+    return not isinstance(kind, (VariantType, YearMonthIntervalType, UserDefinedType))
+
+
 def dealt(df: DataFrame) -> DataFrame:
     """The frame in as many tasks as the session's ``lathe.text.tasks`` says; unset (the default), as it is.
 

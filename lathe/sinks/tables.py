@@ -10,7 +10,8 @@ from ..functions.rx import as_col, present
 from ..operators.dedup import keep_first
 from ..operators.ordered import batch_number, running_index, sheet_order
 from ..operators.projection import to_export
-from ..session import usual_tasks
+from ..session import local_path, plain, usual_tasks
+from .numbered import write_folders
 
 SHEET_NAME_LIMIT = 31
 
@@ -121,11 +122,17 @@ def upsert_by_category(new: DataFrame, path: str, category: str, key: str, order
 def write_numbered_batches(df: DataFrame, path: str, order, rows_per_file: int = 50) -> None:
     """Folder ``batch=k`` holds the rows k * n - n + 1 to k * n of the order, in one file, sorted.
 
-    Files cost more than their rows, so the number of tasks is given: AQE would join the small ones.
+    Files cost more than their rows, so the number of tasks is given: AQE would join the small ones. On the local
+    file system tasks write the files themselves (``sinks.numbered``); elsewhere, and columns of types that pyarrow does
+    not know, Spark writes them.
     """
     placed = batch_number(df, order, rows_per_file, "batch")
     names = [order] if isinstance(order, str) else list(order)
-    placed.repartitionByRange(usual_tasks(df.sparkSession), "batch").sortWithinPartitions("batch", *names).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch").parquet(path)
+    rows = placed.repartitionByRange(usual_tasks(df.sparkSession), "batch").sortWithinPartitions("batch", *names)
+    if (local := local_path(df.sparkSession, path)) is not None and plain(rows.schema):
+        write_folders(rows, local, "batch")
+    else:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch").parquet(path)
 
 
 def write_batches(df: DataFrame, path: str, rows_per_file: int = 50) -> None:

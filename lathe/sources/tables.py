@@ -12,8 +12,9 @@ from ..functions.text import html_to_text
 from ..functions.urls import valid_url
 from ..operators.ordered import top_n
 from ..operators.projection import to_raw
-from ..session import stored
+from ..session import local_path, plain, stored
 from ..spec.lines import sheet_attributes
+from .numbered import folder_schema, read_folders
 
 
 def read_flat(spark: SparkSession, path: str, fmt: str = "parquet", columns=None) -> DataFrame:
@@ -28,6 +29,18 @@ def read_batches(spark: SparkSession, folder: str, pattern: str = "batch_*.parqu
     return df.withColumn("source_file", F.col("_metadata.file_name"))
 
 
+def read_numbered_batches(spark: SparkSession, path: str, columns=None) -> DataFrame:
+    """A4: the rows of all files in the folders ``batch=k``, with ``batch`` and the ``file`` each came from.
+
+    Spark's reader keeps every folder and file on the driver and starts a task for each folder to list them. Here, on
+    the local file system, one task lists the folders and as many as a shuffle has read them (``sources.numbered``).
+    """
+    if (local := local_path(spark, path)) is not None and plain(schema := folder_schema(spark, local, columns)):
+        return read_folders(spark, local, "batch", schema)
+    rows = spark.read.parquet(path).withColumns({"batch": F.col("batch").cast("bigint"), "file": F.input_file_name()})
+    return rows.select(*columns, "batch", "file") if columns else rows
+
+
 def read_sheets(spark: SparkSession, folder: str, columns=None, key: str | None = None) -> DataFrame:
     """A3: the rows of all CSV sheets; the file name (or the folder ``key=...``) is the category."""
     return sheet_table(spark, folder, 1, columns, key)
